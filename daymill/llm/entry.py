@@ -7,12 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, simhash, substring
+from . import bpe, forest, maxscore, pii, secrets, simhash, substring
 from ._common import read_table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return forest.search(vectors, vectors.filter("vec_id % 100 = 0"), k=10)
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(read_table(spark, sf_dir, "documents"))
+
+
+def op5_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return maxscore.search(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
+
+
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(read_table(spark, sf_dir, "documents"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -29,6 +47,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_prefix_forest": op1_prefix_forest,
+    "op4_secret_scan": op4_secret_scan,
+    "op5_maxscore": op5_maxscore,
+    "op7_personal_data": op7_personal_data,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_simhash": op10_simhash,
