@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, forest, maxscore, pii, secrets, simhash, substring
+from . import bpe, forest, maxscore, pii, secrets, simhash, substring, urlfilter
 from ._common import read_table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -18,6 +18,11 @@ def op1_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.search(vectors, vectors.filter("vec_id % 100 = 0"), k=10)
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urlfilter.judge(read_table(spark, sf_dir, "pages").select("page_id", "url"))
+    return judged.select("page_id", *[F.col(f"__mill_{c}").alias(c) for c in ("host", "path", "rule", "verdict")])
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(read_table(spark, sf_dir, "documents"))
 
@@ -48,6 +53,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_prefix_forest": op1_prefix_forest,
+    "op3_url_filter": op3_url_filter,
     "op4_secret_scan": op4_secret_scan,
     "op5_maxscore": op5_maxscore,
     "op7_personal_data": op7_personal_data,
@@ -56,4 +62,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash": op10_simhash,
 }
 
-ORACLES: dict[str, str] = {}
+_RULES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in urlfilter.RULES)
+_BLOCKED = ", ".join(f"'{h}'" for h in urlfilter.BLOCKED_HOSTS)
+
+OP3 = f"""
+WITH rules(rule_host, rule_path, rule_verdict) AS (VALUES {_RULES}),
+blocked AS (SELECT unnest([{_BLOCKED}]) AS blocked_host),
+parts AS (
+  SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+),
+hosts AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM parts
+),
+keyed AS (SELECT row_number() OVER () AS n, * FROM hosts),
+fits AS (
+  SELECT n, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule, arg_max(rule_verdict, length(rule_host || rule_path)) AS rule_verdict
+  FROM keyed JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY n
+)
+SELECT page_id, host, path, rule,
+  coalesce(rule_verdict, CASE WHEN EXISTS (SELECT 1 FROM blocked WHERE host = blocked_host OR ends_with(host, '.' || blocked_host)) THEN 'block' ELSE 'allow' END) AS verdict
+FROM keyed LEFT JOIN fits USING (n)
+"""
+
+ORACLES: dict[str, str | None] = {
+    "op3_url_filter": OP3,
+}
