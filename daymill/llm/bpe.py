@@ -18,7 +18,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import chain
 
 import pandas as pd
@@ -252,25 +252,18 @@ def _sent(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast((ranks, reachable(ranks)))
 
 
-def _mapped(docs: DataFrame, path: str, pattern: str, kind: str, text_col: str, row: Callable[[Codec, str], tuple | list]):
-    spark = docs.sparkSession
-    small_batches(spark)
-    ranks = _sent(spark, path)
+def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", out_col: str = "ids") -> DataFrame:
+    """docs with the token ids of each text; an existing column of that name is replaced."""
+    small_batches(docs.sparkSession)
+    ranks = _sent(docs.sparkSession, path)
 
-    @F.pandas_udf(kind)
-    def run(batches):
+    @F.pandas_udf("array<int>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         codec = _codec(path, pattern, ranks)
         for texts in batches:
-            made = [row(codec, t) for t in texts]
-            yield pd.Series(made, dtype=object) if kind.startswith("array") else pd.DataFrame(made, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+            yield pd.Series([codec.encode(t) for t in texts], dtype=object)
 
-    run.func.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series if kind.startswith("array") else pd.DataFrame]}
-    return run(text_or_empty(text_col))
-
-
-def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", out_col: str = "ids") -> DataFrame:
-    """docs with the token ids of each text; an existing column of that name is replaced."""
-    return docs.withColumn(out_col, _mapped(docs, path, pattern, "array<int>", text_col, lambda codec, text: codec.encode(text)))
+    return docs.withColumn(out_col, run(text_or_empty(text_col)))
 
 
 def decode(docs: DataFrame, path: str, pattern: str = ".", ids_col: str = "ids", out_col: str = "text") -> DataFrame:
@@ -295,5 +288,13 @@ def _digests(codec: Codec, text: str) -> tuple[int, str, str]:
 
 def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row: each text is encoded, and its ids decoded."""
-    out = _mapped(docs, path, pattern, "n_tokens long, ids_sha256 string, decoded_sha256 string", text_col, _digests)
-    return docs.select(F.col(id_col).alias("doc_id"), out.alias("r")).select("doc_id", "r.*")
+    small_batches(docs.sparkSession)
+    ranks = _sent(docs.sparkSession, path)
+
+    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        codec = _codec(path, pattern, ranks)
+        for texts in batches:
+            yield pd.DataFrame([_digests(codec, t) for t in texts], columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return docs.select(F.col(id_col).alias("doc_id"), run(text_or_empty(text_col)).alias("r")).select("doc_id", "r.*")
