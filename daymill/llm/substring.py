@@ -162,7 +162,7 @@ def deduplicate_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def _run(docs: DataFrame, id_col: str, text_col: str, kept: str, render) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
-    n = 4 * shuffle_width(spark)
+    n = shuffle_width(spark)
     named = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), text_or_empty(text_col).alias("text"))
     placed = named.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(n)))
 
