@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, forest, maxscore, pii, secrets, simhash, substring, urlfilter
+from . import bpe, forest, maxscore, pii, secrets, simhash, substring, toxicity, urlfilter
 from ._common import read_table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -18,6 +18,10 @@ def op1_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.search(vectors, vectors.filter("vec_id % 100 = 0"), k=10)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = urlfilter.judge(read_table(spark, sf_dir, "pages").select("page_id", "url"))
     return judged.select("page_id", *[F.col(f"__mill_{c}").alias(c) for c in ("host", "path", "rule", "verdict")])
@@ -53,6 +57,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_prefix_forest": op1_prefix_forest,
+    "op2_toxicity": op2_toxicity,
     "op3_url_filter": op3_url_filter,
     "op4_secret_scan": op4_secret_scan,
     "op5_maxscore": op5_maxscore,
