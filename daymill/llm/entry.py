@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, forest, maxscore, pii, secrets, simhash, substring, toxicity, urlfilter
+from . import bpe, forest, maxscore, mixing, pii, secrets, simhash, substring, toxicity, urlfilter
 from ._common import read_table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -36,6 +36,10 @@ def op5_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxscore.search(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
 
 
+def op6_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(read_table(spark, sf_dir, "documents"))
+
+
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(read_table(spark, sf_dir, "documents"))
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
     "op4_secret_scan": op4_secret_scan,
     "op5_maxscore": op5_maxscore,
+    "op6_temperature_mixing": op6_temperature_mixing,
     "op7_personal_data": op7_personal_data,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_substring_dedup": op9_substring_dedup,
