@@ -184,3 +184,13 @@ def near_duplicates(docs: DataFrame, words: int = 3, id_col: str = "doc_id", tex
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of = rooted.join(least, "root").select("fp", "component_id")
     return fps.join(of, "fp").select("doc_id", "fp", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def keep_one(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one row of each component: the row of the smallest id, or one of its rows if several have that id.
+
+    Rows with a null id can't be told apart and all stay.
+    """
+    keep = near_duplicates(docs.filter(F.col(id_col).isNotNull()), words, id_col, text_col).select(F.col("component_id").alias("__mill_first")).distinct()
+    named = docs.join(keep, F.col(id_col) == F.col("__mill_first"), "left_semi").dropDuplicates([id_col])
+    return named.unionByName(docs.filter(F.col(id_col).isNull()))
