@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..scratch import folder
+
 LINE = "struct<part:bigint,supp:bigint,qty:double>"
 DOCUMENT = "struct<id:bigint,time:string,party:struct<cust:bigint,status:string>,lines:array<struct<part:bigint,supp:bigint,qty:double,extra:string>>>"
 ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
@@ -31,7 +33,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = orders.join(lines, orders["o_orderkey"] == lines["l_orderkey"], "left")
     time = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))
     doc = F.to_json(F.struct(F.col("o_orderkey").alias("id"), time.alias("time"), F.struct(F.col("o_custkey").alias("cust"), F.col("o_orderstatus").alias("status")).alias("party"), "lines"))
-    return j.select(F.to_date("o_orderdate").alias("order_day"), doc.alias("doc"))
+    landed = j.select(F.to_date("o_orderdate").alias("order_day"), doc.alias("doc"))
+    path = folder(spark, "documents")
+    landed.write.parquet(path)
+    return spark.read.schema(landed.schema).parquet(path)
 
 
 def three_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,11 +20,11 @@ NAMED = {
     "child_by_date": Query("SELECT * FROM children WHERE day BETWEEN :date_from AND :date_to ORDER BY day, id, ordinal", _RANGE),
     "items_by_date": Query("SELECT * FROM items WHERE day BETWEEN :date_from AND :date_to ORDER BY day, id, parent_ordinal NULLS FIRST, ordinal", _RANGE),
     "market_by_date": Query("SELECT * FROM market WHERE day BETWEEN :date_from AND :date_to AND (:region_id IS NULL OR region_id = :region_id) ORDER BY day, region_id, id", _RANGE | {"region_id": ("int", False)}),
-    "members_by_id": Query("SELECT * FROM members WHERE array_contains(:ids, id) ORDER BY id", {"ids": ("ids", True)}),
-    "groups_by_id": Query("SELECT * FROM groups WHERE array_contains(:ids, id) ORDER BY id", {"ids": ("ids", True)}),
-    "parents_by_id": Query("SELECT * FROM parents WHERE array_contains(:ids, id) ORDER BY id", {"ids": ("ids", True)}),
-    "history_by_id": Query("SELECT * FROM history WHERE array_contains(:ids, id) ORDER BY id, record_id", {"ids": ("ids", True)}),
-    "group_history_by_id": Query("SELECT * FROM group_history WHERE array_contains(:ids, id) ORDER BY id, record_id", {"ids": ("ids", True)}),
+    "members_by_id": Query("SELECT * FROM members WHERE array_contains(CAST(:ids AS ARRAY<BIGINT>), CAST(id AS BIGINT)) ORDER BY id", {"ids": ("ids", True)}),
+    "groups_by_id": Query("SELECT * FROM groups WHERE array_contains(CAST(:ids AS ARRAY<BIGINT>), CAST(id AS BIGINT)) ORDER BY id", {"ids": ("ids", True)}),
+    "parents_by_id": Query("SELECT * FROM parents WHERE array_contains(CAST(:ids AS ARRAY<BIGINT>), CAST(id AS BIGINT)) ORDER BY id", {"ids": ("ids", True)}),
+    "history_by_id": Query("SELECT * FROM history WHERE array_contains(CAST(:ids AS ARRAY<BIGINT>), CAST(id AS BIGINT)) ORDER BY id, record_id", {"ids": ("ids", True)}),
+    "group_history_by_id": Query("SELECT * FROM group_history WHERE array_contains(CAST(:ids AS ARRAY<BIGINT>), CAST(id AS BIGINT)) ORDER BY id, record_id", {"ids": ("ids", True)}),
 }
 
 
@@ -50,7 +50,7 @@ def run_named(spark: SparkSession, name: str, params: dict[str, str]) -> DataFra
     for p, (kind, required) in declared.items():
         if p in params:
             value = convert(kind, params[p])
-            args[p] = F.array(*[F.lit(v).cast("bigint") for v in value]) if kind == "ids" else value
+            args[p] = F.array(*map(F.lit, value)) if kind == "ids" else value
         elif required:
             raise ValueError(f"parameter {p} is missing")
         else:

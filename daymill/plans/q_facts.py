@@ -64,8 +64,7 @@ def src_json_map(spark, sf_dir):
         pair = F.concat(F.lit('"'), key, F.lit('":'), value if name == "docs" else F.concat(F.lit('"'), value, F.lit('"')))
         body = part.groupBy("k").agg(F.concat(F.lit("{"), F.array_join(F.collect_list(pair), ","), F.lit(',"note":5}')).alias("value"))
         body.repartition(64, "k").select("value").write.text(f"{path}/{name}")
-    # Files of both are matched by what they hold here, as Spark names them apart.
-    docs, index = (files.read_json_map(spark, f"{path}/{n}") for n in ("docs", "index")) if False else (files.read_json_map(spark, f"{path}/docs"), None)
+    docs = files.read_json_map(spark, f"{path}/docs")  # Spark names the files of both apart, so hashes are joined by id
     hashes = spark.read.text(f"{path}/index", wholetext=True).select(F.explode(F.from_json("value", "map<string,string>")).alias("id", "hash"))
     j = docs.drop("hash").join(hashes, "id", "left")
     return j.select(F.col("id").cast("bigint").alias("id"), F.get_json_object("doc", "$.cust").cast("bigint").alias("cust"), "hash")
@@ -370,7 +369,7 @@ LIVE_LINE = "struct<key:string,sequence_id:bigint,value:double,day:date>"
 
 def _flushed(spark, sf_dir, replays: int):
     source, path = folder(spark, "feed"), folder(spark, "live")
-    e = _feed(spark, sf_dir)
+    e = _feed(spark, sf_dir).withColumn("key", F.concat_ws("/", "key", F.col("day").cast("string")))
     e.select(F.to_json(F.struct("key", "sequence_id", "value", "day")).alias("value")).repartitionByRange(6, F.get_json_object("value", "$.sequence_id").cast("bigint")).write.text(source)
     for i in range(replays):
         flush = feed.LiveFlush(path, LIVE, "key", "sequence_id", "day")
@@ -378,15 +377,15 @@ def _flushed(spark, sf_dir, replays: int):
     return files.read_table(spark, path, LIVE, "day")
 
 
-_LIVE_SQL = "SELECT user_id || '/' || event_type AS key, CAST(ts AS DATE) AS day, CAST(max(event_id) AS BIGINT) AS sequence_id, arg_max(value, event_id) AS value FROM events WHERE event_id % 7 <> 3 GROUP BY ALL"
+_LIVE_SQL = "SELECT user_id || '/' || event_type || '/' || CAST(ts AS DATE) AS key, CAST(ts AS DATE) AS day, CAST(max(event_id) AS BIGINT) AS sequence_id, arg_max(value, event_id) AS value FROM events WHERE event_id % 7 <> 3 GROUP BY ALL"
 
 
-@query()
+@query(_LIVE_SQL)
 def live_flush(spark, sf_dir):
     return _flushed(spark, sf_dir, 1)
 
 
-@query()
+@query(_LIVE_SQL)
 def live_flush_replay(spark, sf_dir):
     return _flushed(spark, sf_dir, 2)
 
