@@ -63,7 +63,7 @@ def src_json_map(spark, sf_dir):
     for name, value, part in (("docs", F.to_json(F.struct(F.col("o_custkey").alias("cust"))), o), ("index", F.md5(key), o.filter("o_orderkey % 2 = 0"))):
         pair = F.concat(F.lit('"'), key, F.lit('":'), value if name == "docs" else F.concat(F.lit('"'), value, F.lit('"')))
         body = part.groupBy("k").agg(F.concat(F.lit("{"), F.array_join(F.collect_list(pair), ","), F.lit(',"note":5}')).alias("value"))
-        body.repartition(64, "k").select("value").write.text(f"{path}/{name}")
+        body.repartition("k").write.partitionBy("k").text(f"{path}/{name}")
     docs = files.read_json_map(spark, f"{path}/docs")  # Spark names the files of both apart, so hashes are joined by id
     hashes = spark.read.text(f"{path}/index", wholetext=True).select(F.explode(F.from_json("value", "map<string,string>")).alias("id", "hash"))
     j = docs.drop("hash").join(hashes, "id", "left")
