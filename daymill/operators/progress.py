@@ -15,8 +15,9 @@ def counter_rates(samples: DataFrame, series: list[str], at: str = "at", value:
 
     A window of no length has no rate; the first sample of a series has none either.
     """
-    w = Window.partitionBy(*series).orderBy(at)
-    delta = F.greatest(F.col(value) - F.lag(value).over(w), F.lit(0))
+    w = Window.partitionBy(*series).orderBy(at, value)
+    change = F.col(value) - F.lag(value).over(w)
+    delta = F.when(change.isNotNull(), F.greatest(change, F.lit(0)))
     window = _seconds(F.col(at)) - _seconds(F.lag(at).over(w))
     out = samples.withColumn("delta", delta).withColumn("window_s", window)
     per = F.when(F.col("window_s") > 0, F.col("delta") / F.col("window_s"))
