@@ -204,7 +204,7 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str, tokens: dict[bytes, int] | None = None) -> None:
         self.find = regex.compile(pattern).findall
         self.machine = Transducer(ranks, tokens or reachable(ranks))
-        self.text = Utf8({i: t for t, i in ranks.items()})
+        self.ranks, self.text = ranks, None
         self.digits = {i: str(i) for i in ranks.values()}.__getitem__
         self.pieces: dict[str, tuple[int, ...]] = {}
         self.parts: dict[str, tuple[int, ...]] = {}
@@ -233,6 +233,8 @@ class Codec:
         return [*self.part(first), *chain.from_iterable(map(known.__getitem__, rest))]
 
     def decode(self, ids: list[int]) -> str:
+        if self.text is None:
+            self.text = Utf8({i: t for t, i in self.ranks.items()})
         return self.text.decode(ids)
 
 
@@ -253,13 +255,16 @@ def _sent(spark: SparkSession, path: str):
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", out_col: str = "ids") -> DataFrame:
-    """docs with the token ids of each text; an existing column of that name is replaced."""
+    """docs with the token ids of each text; an existing column of that name is replaced.
+
+    A task's machine ends with it, so that workers that go on to other stages don't hold it.
+    """
     small_batches(docs.sparkSession)
     ranks = _sent(docs.sparkSession, path)
 
     @F.pandas_udf("array<int>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        codec = _codec(path, pattern, ranks)
+        codec = Codec(ranks.value[0], pattern, ranks.value[1])
         for texts in batches:
             yield pd.Series([codec.encode(t) for t in texts], dtype=object)
 
