@@ -60,6 +60,14 @@ def test_components_equal_brute_force(spark, bucket):
     assert got == brute(rows)
 
 
+def test_bitmaps_differ_no_more_than_sets():
+    sets = [similar.shingle_set(t or "") for _, t in edited_texts(6)]
+    for a in sets[::3]:
+        for b in sets[::5]:
+            differ = sum(bin(int(x)).count("1") for x in (similar.bitmap(a) ^ similar.bitmap(b)).view("uint64"))
+            assert differ <= len(set(a.tolist()) ^ set(b.tolist()))
+
+
 def test_stage_removes_edited_copies(spark, sf_dir):
     rows = edited_texts(5) + [(None, "one two")]
     docs = spark.createDataFrame([(d, t, "x") for d, t in rows], "doc_id long, text string, source string")
