@@ -53,15 +53,18 @@ def defer(queue: DataFrame, stored: DataFrame, crawl: int) -> DataFrame:
     return j.withColumn("priority", F.when(off, F.lit(DEFERRED)).otherwise(F.col("priority"))).select(*queue.columns)
 
 
-def within_budget(queue: DataFrame, now, budget: int, cost: dict[str, int], limit: int = 10_000) -> DataFrame:
-    """The entries of a fair page whose running cost stays within the budget; it stops before the first that exceeds it.
+def within_budget(queue: DataFrame, now, budget: int, cost: dict[str, int]) -> DataFrame:
+    """All entries, in fair order, whose running cost stays within the budget; it stops before the first that exceeds it.
 
-    cost: requests by kind. The running sum goes over the page of at most limit entries, not over the queue.
+    cost: requests by kind, at least 1 each (1 for a kind without one). So a budget never pays for more than budget
+    entries, and the running sum goes over that many at most, not over the queue.
     """
+    if low := sorted(kind for kind, n in cost.items() if n < 1):
+        raise ValueError(f"cost of {low[0]} is below 1")
     price = F.lit(1)
     for kind, n in cost.items():
         price = F.when(F.col("kind") == kind, n).otherwise(price)
-    page = take(queue, now, limit).withColumn("cost", price)
+    page = take(queue, now, max(budget, 0)).withColumn("cost", price)
     order = Window.orderBy("priority", "turn", "next_due_at", "kind").rowsBetween(Window.unboundedPreceding, 0)
     return page.withColumn("spent", F.sum("cost").over(order)).filter(F.col("spent") <= budget)
 

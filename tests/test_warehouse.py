@@ -164,6 +164,16 @@ def test_hashes_of_zipped_files(spark, tmp_path):
     assert got["a.gz"].unzipped_sha256 == want == got["b"].sha256 and got["b"].unzipped_sha256 is None
 
 
+def test_budget_is_used_up_beyond_a_page(spark):
+    now = dt.datetime(2024, 1, 1)
+    queue = spark.range(12_000).select(F.lit("a").alias("kind"), F.col("id").alias("entity_id"), F.lit(1).alias("priority"), F.lit(None).cast("timestamp").alias("last_refreshed_at"), F.lit(now).alias("next_due_at"))
+    spent = workqueue.within_budget(queue, now, 11_000, {}).agg(F.count("*"), F.max("spent"), F.max("entity_id")).first()
+    assert tuple(spent) == (11_000, 11_000, 10_999)
+    assert workqueue.within_budget(queue, now, 11_001, {"a": 2}).count() == 5_500
+    with pytest.raises(ValueError, match="below 1"):
+        workqueue.within_budget(queue, now, 10, {"a": 0})
+
+
 def test_rates_never_fall(spark):
     at = lambda m: dt.datetime(2024, 1, 1, 0, m)
     df = spark.createDataFrame([("s", at(0), 10), ("s", at(1), 40), ("s", at(2), 5), ("s", at(2), 6)], "series string, at timestamp, value int")
