@@ -17,7 +17,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -65,17 +64,18 @@ class Forest:
             yield np.flatnonzero(met)
 
 
-def _answers(entries: pd.DataFrame, queries: pd.DataFrame, k: int, trees: int, share: float) -> Iterator[tuple]:
-    vectors, ids = _vectors.matrix(entries["v"]), entries["ids"].tolist()
-    forest = Forest(vectors, trees)
-    enough = max(k + 1, int(share * len(vectors)))
-    asked, names = _vectors.matrix(queries["v"]), queries["vec_id"].tolist()
-    for q, at in enumerate(forest.candidates(asked, enough)):
-        distance = np.sqrt(((vectors[at] - asked[q]) ** 2).sum(axis=1))
-        kept = at[distance <= np.partition(distance, min(k, len(at) - 1))[min(k, len(at) - 1)]]
-        found = [(float(np.sqrt(((vectors[i] - asked[q]) ** 2).sum())), x) for i in kept for x in ids[i] if x != names[q]]
-        for d, x in sorted(found)[:k]:
-            yield names[q], x, d
+def search_cell(k: int, ids: np.ndarray, forest: Forest, names: np.ndarray, queries: np.ndarray, floors: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query row, id, distance) of the nearest k found in a shard for each query of a block, none farther than its floor."""
+    # so many over all trees are more than k different ones
+    enough = max(len(forest.order) * (k + 1), int(share * len(forest.vectors)))
+    out = []
+    for q, at in enumerate(forest.candidates(queries, enough)):
+        distance = np.sqrt(((forest.vectors[at] - queries[q]) ** 2).sum(axis=1))
+        kept = (ids[at] != names[q]) & ~(distance > floors[q])
+        at, distance = ids[at[kept]], distance[kept]
+        found = _vectors.best(np.zeros(len(at), np.int64), at, distance, k)
+        out.append((np.full(len(found), q), at[found], distance[found]))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 10, trees: int = 16, share: float = 0.8, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -83,24 +83,14 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, trees: int = 16,
 
     vectors are what is searched; queries are rows of the same columns. A query doesn't find rows of its own id.
     """
+    made: list[tuple[bytes, Forest]] = []  # a task's cells come shard by shard
+
+    def cell(k: int, ids: np.ndarray, rows: np.ndarray, names: np.ndarray, asked: np.ndarray, floors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if not made or made[0][0] != ids.tobytes() or made[0][1].vectors.shape != rows.shape:
+            made[:] = [(ids.tobytes(), Forest(rows, trees))]
+        return search_cell(k, ids, made[0][1], names, asked, floors, share)
+
     nonzero = F.exists("v", lambda x: x != 0)
-    entries = _vectors.folded(_vectors.usable(vectors, id_col, vector_col).filter(nonzero), k, "forest-entries")
-    asked = _vectors.usable(queries, id_col, vector_col).filter(nonzero).distinct()
-    shards = _vectors.shard_count(vectors)
-
-    def answer(mine: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(mine) and len(asked):
-            size, wanted = mine["v"].map(len), asked["v"].map(len)
-            for n in size.unique():
-                if (wanted == n).any():
-                    out += _answers(mine[size == n].reset_index(drop=True), asked[wanted == n], k, trees, share)
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
-
-    found = (
-        _vectors.sharded(entries, shards)
-        .groupBy("shard")
-        .cogroup(_vectors.fanned_out(asked, shards).groupBy("shard"))
-        .applyInPandas(answer, "query_id long, vec_id long, score double")
-    )
-    return _vectors.merged(found, k, "score")
+    entries = _vectors.shards(_vectors.usable(vectors, id_col, vector_col).filter(nonzero), "forest-shards")
+    asked = _vectors.usable(queries, id_col, vector_col).filter(nonzero)
+    return _vectors.rounds(entries, asked, k, cell, "double", F.col("score"), worst=F.max)

@@ -2,95 +2,94 @@
 
 A term is a dimension with a sign; its postings are the entries whose component has that sign, with its size. A query
 takes, for each of its dimensions, the postings that add to the score; components of the other sign take away, so
-what the postings add is an upper bound. Terms are ordered by the most that they can add. As soon as k scores are known,
-the terms that together can't reach the k-th best are non-essential: postings of the essential terms are traversed,
-then the others are probed for the entries that are still competitive, which get their exact score at last. Shards are
-searched apart and their best merged.
-
-Vectors null or with null or non-finite components take no part; vectors of different lengths are searched apart.
-Components whose size after scaling is 2**22 or more are computed in Python's integers, and scores beyond a long are
-cut to its range. Ties go to smaller ids. Fewer candidates than k give all of them.
+what the postings add is an upper bound. A query's terms are ordered by the most that they can add. The terms at the end
+that together can't reach its k-th best score so far are non-essential: an entry that only they hold can't be found.
+The postings of the essential terms are traversed, for all queries of a block at once; the entries that what is left
+could still lift to the k-th best are probed, which gives their exact score. Shards are searched in rounds and merged;
+each round starts from the k-th best of those before (``_vectors``).
+
+Vectors null or with null or non-finite components take no part; vectors of different lengths are searched apart. An
+empty vector's score is 0. Scores are exact: 32- or 64-bit floats where no sum can pass their exact integers, else
+Python's integers. Scores beyond a long are cut to its range, and count as equal there. Ties go to smaller ids. Fewer
+candidates than k give all of them; an empty table gives an empty result. Rows that share an id: see ``_vectors``.
+Other columns of the input are not read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _vectors
 
-#: Below this size of components, scores of vectors up to 512 long are exact in 64-bit floats.
-EXACT = 1 << 22
-
-
-class Postings:
-    """One shard's inverted lists."""
-
-    def __init__(self, rows: np.ndarray) -> None:
-        self.rows = rows
-        self.lists: dict[tuple[int, bool], tuple[np.ndarray, np.ndarray, float]] = {}
-        for d in range(rows.shape[1]):
-            for positive in (True, False):
-                at = np.flatnonzero(rows[:, d] > 0 if positive else rows[:, d] < 0)
-                if len(at):
-                    size = np.abs(rows[at, d])
-                    self.lists[d, positive] = (at, size, size.max())
-
-    def best(self, query: np.ndarray, k: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
-        """Indices and scores of all entries that score as much as the k-th best, or at least the floor."""
-        terms = []
-        for d in np.flatnonzero(query):
-            if found := self.lists.get((d, bool(query[d] > 0))):
-                terms.append((abs(query[d]) * found[2], d, found))
-        terms.sort(key=lambda x: -x[0])
-        bounds = np.array([t[0] for t in terms])
-        left = bounds[::-1].cumsum()[::-1] if len(terms) else bounds
-        upper = np.zeros(len(self.rows))
-        # Entries in no essential list can't score over what the non-essential terms add up to.
-        essential = int(np.searchsorted(-left, -floor, "right")) if floor > 0 else len(terms)
-        for _, d, (at, size, _) in terms[:essential]:
-            upper[at] += abs(query[d]) * size
-        rest = left[essential] if essential < len(terms) else 0.0
-        live = np.flatnonzero(upper + rest >= floor) if floor > -np.inf else np.arange(len(self.rows))
-        for i in range(essential, len(terms)):
-            if not len(live):
-                break
-            d = terms[i][1]
-            upper[live] += np.maximum(query[d] * self.rows[live, d], 0)
-            rest = left[i + 1] if i + 1 < len(terms) else 0.0
-            live = live[upper[live] + rest >= floor]
-        scores = self.rows[live] @ query
-        if len(live) > k:
-            floor = max(floor, np.partition(scores, len(scores) - k)[len(scores) - k])
-        kept = scores >= floor
-        return live[kept], scores[kept]
-
-
-def _answers(entries: pd.DataFrame, queries: pd.DataFrame, k: int, scale: int) -> Iterator[tuple]:
-    rows, ids = np.floor(scale * _vectors.matrix(entries["v"])), entries["ids"].tolist()
-    asked, names = np.floor(scale * _vectors.matrix(queries["v"])), queries["vec_id"].tolist()
-    if max(np.abs(rows).max(initial=0), np.abs(asked).max(initial=0)) >= EXACT or rows.shape[1] > 512:
-        rows, asked = [[int(x) for x in r] for r in rows], [[int(x) for x in r] for r in asked]
-        for q, name in zip(asked, names, strict=True):
-            found = [(sum(a * b for a, b in zip(q, r, strict=True)), x) for r, own in zip(rows, ids, strict=True) for x in own if x != name]
-            for s, x in sorted(found, key=lambda t: (-t[0], t[1]))[:k]:
-                yield name, x, max(min(s, (1 << 63) - 1), -1 << 63)
-        return
-    postings = Postings(rows)
-    # A part of the entries gives each query a first k-th best score; one more than k, for the query's own entry.
-    part = rows[: max(256, 4 * k)]
-    for at in range(0, len(asked), 512):
-        first = part @ asked[at : at + 512].T
-        floors = np.partition(first, len(part) - k - 1, axis=0)[len(part) - k - 1] if len(part) > k else np.full(first.shape[1], -np.inf)
-        for q, floor in enumerate(floors, at):
-            live, scores = postings.best(asked[q], k + 1, floor)
-            found = [(-int(s), x) for i, s in zip(live.tolist(), scores.tolist(), strict=True) for x in ids[i] if x != names[q]]
-            for s, x in sorted(found)[:k]:
-                yield names[q], x, -s
+LONG = (1 << 63) - 1
+#: How many entries give a query its first floor, and how many pairs are probed at once.
+FIRST, PAIRS = 256, 1 << 16
+
+
+def scaled(rows: np.ndarray, scale: int) -> np.ndarray:
+    """floor(scale * x), in Python's integers where 64-bit floats don't hold them all."""
+    out = np.floor(scale * rows) if np.abs(rows).max(initial=0) < 2**900 else np.full(rows.shape, np.inf)
+    if np.abs(out).max(initial=0) < 2**53:
+        return out
+    return np.array([[int(x) * scale if abs(x) >= 2**53 else int(np.floor(scale * x)) for x in r] for r in rows.tolist()], object).reshape(rows.shape)
+
+
+def _narrowest(rows: np.ndarray, queries: np.ndarray) -> type:
+    """The smallest type in which no sum of products loses anything."""
+    most = max((int(x) for x in (np.abs(rows).max(initial=0), 1)), default=1) * int(np.abs(queries).max(initial=0)) * max(rows.shape[1], 1)
+    return np.float32 if most < 1 << 24 else np.float64 if most < 1 << 53 else object
+
+
+def _integers(rows: np.ndarray, kind: type) -> np.ndarray:
+    if kind is object and rows.dtype != object:
+        return np.array([[int(x) for x in r] for r in rows.tolist()], object).reshape(rows.shape)
+    return rows.astype(kind)
+
+
+def competitive(rows: np.ndarray, queries: np.ndarray, floors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(entry, query) pairs that can reach the query's floor: essential postings are traversed, the rest is bounded."""
+    postings = np.hstack([np.maximum(rows, 0), np.maximum(-rows, 0)])
+    terms = np.hstack([np.maximum(queries, 0), np.maximum(-queries, 0)])
+    bounds = terms * postings.max(axis=0, initial=0)
+    order = np.argsort(-bounds, axis=1, kind="stable")
+    left = np.take_along_axis(bounds, order, axis=1)[:, ::-1].cumsum(axis=1)[:, ::-1]
+    essential = np.zeros(terms.shape, bool)
+    np.put_along_axis(essential, order, left >= floors[:, None], axis=1)
+    rest = np.where(essential, 0, bounds).sum(axis=1)
+    upper = postings @ np.where(essential, terms, 0).T
+    return np.nonzero(upper + rest >= floors)
+
+
+def search_cell(k: int, ids: np.ndarray, rows: np.ndarray, names: np.ndarray, queries: np.ndarray, floors: np.ndarray, scale: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query row, id, score) of the best k of a shard for each query of a block, as far as they reach its floor.
+
+    Bounds are floating-point numbers. Where these don't hold the scores, no bound is used and all terms are essential.
+    """
+    rows, queries = scaled(rows, scale), scaled(queries, scale)
+    kind = _narrowest(rows, queries)
+    rows, queries = _integers(rows, kind), _integers(queries, kind)
+    if kind is object:
+        score = np.array([max(min(s, LONG), -LONG - 1) for s in (rows @ queries.T).ravel().tolist()], np.int64)
+        at, of = (x.ravel() for x in np.indices((len(rows), len(queries))))
+        floors = np.full(len(queries), -LONG - 1)
+    else:
+        floors = np.where(np.isnan(floors), -np.inf, floors)
+        _, first = np.unique(ids[: max(FIRST, 4 * k)], return_index=True)
+        if len(first) > k:  # one more than k, for the query's own id
+            floors = np.maximum(floors, np.sort(rows[first] @ queries.T, axis=0)[len(first) - k - 1])
+        at, of = competitive(rows, queries, floors)
+        if 4 * len(at) > len(rows) * len(queries):  # most are competitive: probe them in one product
+            score = (rows @ queries.T)[at, of]
+        else:
+            parts = [(rows[at[i : i + PAIRS]] * queries[of[i : i + PAIRS]]).sum(axis=1) for i in range(0, len(at), PAIRS)]
+            score = np.concatenate(parts) if parts else np.zeros(0)
+        score = score.astype(np.int64)
+    kept = (score >= floors[of]) & (ids[at] != names[of])
+    at, of, score = at[kept], of[kept], score[kept]
+    found = _vectors.best(of, ids[at], ~score, k)  # ~ turns the order around and stays in a long
+    return of[found], ids[at][found], score[found]
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -98,24 +97,10 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64,
 
     A query doesn't find rows of its own id.
     """
-    entries = _vectors.folded(_vectors.usable(vectors, id_col, vector_col), k, "maxscore-entries")
-    asked = _vectors.usable(queries, id_col, vector_col).distinct()
-    shards = _vectors.shard_count(vectors)
-
-    def answer(mine: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(mine) and len(asked):
-            size, wanted = mine["v"].map(len), asked["v"].map(len)
-            for n in size.unique():
-                if (wanted == n).any():
-                    out += _answers(mine[size == n], asked[wanted == n], k, scale)
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
-
-    found = (
-        _vectors.sharded(entries, shards)
-        .groupBy("shard")
-        .cogroup(_vectors.fanned_out(asked, shards).groupBy("shard"))
-        .applyInPandas(answer, "query_id long, vec_id long, score long")
-    )
-    return _vectors.merged(found, k, F.col("score").desc())
 
+    def cell(*given) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return search_cell(*given, scale)
+
+    entries = _vectors.shards(_vectors.usable(vectors, id_col, vector_col), "maxscore-shards")
+    asked = _vectors.usable(queries, id_col, vector_col)
+    return _vectors.rounds(entries, asked, k, cell, "long", F.col("score").desc(), worst=F.min)

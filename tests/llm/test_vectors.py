@@ -75,3 +75,42 @@ def test_hash_strings_match_prefixes():
     f = forest.Forest(rnd.standard_normal((500, 8)), trees=4)
     for q, c in zip(range(20), f.candidates(f.vectors[:20], 40)):
         assert q in c and len(c) >= 10
+
+
+def test_one_id_on_several_vectors(spark):
+    rnd = np.random.default_rng(8)
+    rows = [(i % 90, [float(np.float32(x)) for x in rnd.standard_normal(6)]) for i in range(300)]
+    df = spark.createDataFrame(rows + rows[:40], "vec_id long, embedding array<float>")
+    for operator, every, k, cost in ((maxscore, 20, 5, lambda a, b: -sum(math.floor(64 * x) * math.floor(64 * y) for x, y in zip(a, b))), (forest, 100, 90, math.dist)):
+        pairs = {}
+        for q, v in rows:
+            for i, w in rows:
+                if q % every == 0 and i != q:
+                    pairs[q, i] = min(pairs.get((q, i), math.inf), cost(v, w))
+        want = {(q, r): i for q in {q for q, _ in pairs} for r, (_, i) in enumerate(sorted((c, i) for (p, i), c in pairs.items() if p == q)[:k], 1)}
+        got = operator.search(df, df.filter(F.col("vec_id") % every == 0), k=k).collect()
+        assert {(r.query_id, r["rank"]): r.vec_id for r in got} == want
+
+
+@pytest.mark.parametrize("size", [4, 40_000])
+def test_shards_in_rounds_change_nothing(spark, monkeypatch, size):
+    df, rows = vectors(spark, n=400)
+    df = df.filter("v <> 'same id'")
+    want = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in maxscore.search(df, df.filter("vec_id % 20 = 0"), k=20).collect()}
+    monkeypatch.setattr("daymill.llm._vectors.SHARD_BYTES", 3000)
+    monkeypatch.setattr("daymill.llm._vectors.BLOCK_ROWS", size)
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in maxscore.search(df, df.filter("vec_id % 20 = 0"), k=20).collect()}
+    assert got == want
+    assert forest.search(df, df.filter("vec_id % 100 = 0"), k=3, share=16.0).count() == len({r[0] for r in rows if r[0] is not None and r[0] % 100 == 0 and r[1] and len(r[1]) == 12}) * 3
+
+
+def test_numbers_of_every_size_score_exactly():
+    rnd = np.random.default_rng(2)
+    for size in (1.0, 1e3, 1e9, 1e17, 1e200):
+        rows, ids = rnd.standard_normal((300, 5)) * size, np.arange(300)
+        of, at, score = maxscore.search_cell(4, ids, rows, ids[:10], rows[:10], np.full(10, np.nan), 64)
+        whole = lambda x: math.floor(64 * x) if abs(x) < 2**53 else int(x) * 64
+        cut = lambda x: max(min(x, (1 << 63) - 1), -1 << 63)
+        for q in range(10):
+            want = sorted((-cut(sum(whole(a) * whole(b) for a, b in zip(rows[q], r))), i) for i, r in enumerate(rows) if i != q)[:4]
+            assert [(-int(s), int(i)) for o, i, s in zip(of, at, score) if o == q] == want
