@@ -4,13 +4,15 @@ Encoding: of each prefix of a piece, the last token of its encoding is the longe
 and that merges leave apart from the token before it. So a piece is read byte by byte by a transducer whose
 configuration is, for every position at which a token may still begin, the tokens that lead there. Determinising adds
 residual outputs: what all positions have in common is emitted at once, and the rest waits, no longer than the longest
-token (the bounded lookahead). States and transitions are made when first met and kept while memory allows.
+token (the bounded lookahead). States and transitions are made when first met, and begun anew when they are too many.
 
 Decoding: tokens' bytes go through a UTF-8 state machine whose transitions (state, token) are made lazily too, so
 that characters split between tokens come out when complete; malformed bytes become U+FFFD.
 
 Each match of the splitting pattern is encoded separately; a match that is itself in the vocabulary is that token.
-A null text is empty: no ids. Nothing depends on other rows.
+A null text is empty: no ids. Nothing depends on other rows: repeated rows repeat, and an empty table gives none. What a
+worker keeps is bounded in number and length (``MOST_STATES``, ``MOST_PIECES``, ``MOST_PARTS``, ``LONG``), so long texts
+without spaces and tables with ever new words cost time and no memory. Other columns of the input are kept by ``encode``.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import pandas as pd
@@ -32,6 +34,9 @@ from ._common import small_batches, text_or_empty
 MOST_STATES = 250_000
 MOST_PIECES = 500_000
 MOST_PARTS = 500_000
+#: Pieces and parts of this many characters or more are not kept.
+LONG = 100
+NEVER = 1 << 60
 #: A space before other than white space, and what tells that a text also has other spaces.
 BREAK = re.compile(r" (?=\S)")
 UNEVEN = re.compile(r" (?!\S)").search
@@ -43,38 +48,59 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f) if a}
 
 
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[bytes]:
-    """The tokens of a short piece by merging, lowest rank first."""
-    never = 1 << 60
+def merge(piece: bytes, ranks: dict[bytes, int], whole: int | None = None) -> list[bytes]:
+    """The tokens of a short piece by merging, lowest rank first; whole is the piece's rank if to stop before it."""
     parts = [piece[i : i + 1] for i in range(len(piece))]
-    rank = [ranks.get(a + b, never) for a, b in zip(parts, parts[1:], strict=False)]
-    while rank and (least := min(rank)) < never:
+    rank = [ranks.get(a + b, NEVER) for a, b in zip(parts, parts[1:], strict=False)]
+    while rank and (least := min(rank)) < NEVER and (least != whole or len(rank) > 1):
         i = rank.index(least)
         parts[i : i + 2] = [parts[i] + parts[i + 1]]
         del rank[i]
         if i:
-            rank[i - 1] = ranks.get(parts[i - 1] + parts[i], never)
+            rank[i - 1] = ranks.get(parts[i - 1] + parts[i], NEVER)
         if i < len(rank):
-            rank[i] = ranks.get(parts[i] + parts[i + 1], never)
+            rank[i] = ranks.get(parts[i] + parts[i + 1], NEVER)
     return parts
 
 
-def reachable(ranks: dict[bytes, int]) -> dict[bytes, int]:
-    """The tokens that merging their own bytes gives; only these come out of merges."""
-    return {t: i for t, i in ranks.items() if len(t) == 1 or len(merge(t, ranks)) == 1}
+def reachable(ranks: dict[bytes, int]) -> dict[bytes, tuple[int, int]]:
+    """The tokens that merging their own bytes gives, with the ranks of the two that the last merge joins; only these
+    come out of merges. A single byte joins none: (-1, -1)."""
+    out = {}
+    for t, rank in ranks.items():
+        if len(t) == 1:
+            out[t] = (-1, -1)
+        elif len(halves := merge(t, ranks, rank)) == 2:
+            out[t] = (ranks[halves[0]], ranks[halves[1]])
+    return out
+
+
+class State(dict):
+    """A state's transitions, from a byte to (state, tokens that go out); one that is missing is made."""
+
+    __slots__ = ("live", "machine")
+
+    def __init__(self, machine: Transducer, live: tuple) -> None:
+        self.machine, self.live = machine, live
+
+    def __missing__(self, byte: int) -> tuple[State, tuple[int, ...]]:
+        return self.machine.step(self, byte)
 
 
 class Transducer:
     """Bytes to token ids, lazily determinised.
 
     A state is, from the longest to the shortest, the trie node of the bytes since each position at which a token may
-    begin, and the tokens to there that are not out yet.
+    begin, and the tokens to there that are not out yet. There are never more than ``most`` states: the next one begins
+    a new machine, in the middle of a piece too.
     """
 
-    def __init__(self, ranks: dict[bytes, int], tokens: dict[bytes, int], most: int = MOST_STATES) -> None:
+    def __init__(self, ranks: dict[bytes, int], tokens: dict[bytes, tuple[int, int]], most: int = MOST_STATES) -> None:
         self.ranks, self.most = ranks, most
+        self.bytes = {i: t for t, i in ranks.items()}
+        self.halves = {ranks[t]: halves for t, halves in tokens.items() if len(t) > 1}
         self.next: dict[int, int] = {}
-        self.token: list[bytes | None] = [None]
+        self.token: list[int | None] = [None]
         self.inner = {0}
         for t in tokens:
             node = 0
@@ -83,57 +109,75 @@ class Transducer:
                 node = self.next.setdefault(node << 8 | byte, len(self.token))
                 if node == len(self.token):
                     self.token.append(None)
-            self.token[node] = t
-        self.apart: dict[tuple[bytes, bytes], bool] = {}
+            self.token[node] = ranks[t]
+        self.apart: dict[int, bool] = {}
         self.reset()
 
     def reset(self) -> None:
-        self.number = {((0, ()),): 0}
-        self.states: list[tuple] = [((0, ()),)]
-        self.steps: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
+        self.start = State(self, ((0, ()),))
+        self.states = {self.start.live: self.start}
         self.apart.clear()
 
-    def stays(self, a: bytes, b: bytes) -> bool:
-        """Whether merging leaves these two tokens as they are, side by side."""
-        known = self.apart.get((a, b))
+    def stays(self, a: int, b: int) -> bool:
+        """Whether merging leaves these two tokens as they are, side by side.
+
+        The merges inside them are undone, latest first (of two alike, the right one). Whenever what is left at the
+        border on both sides would have merged before the merge that was undone last, the border falls.
+        """
+        key = a << 32 | b
+        known = self.apart.get(key)
         if known is None:
-            known = self.apart[a, b] = merge(a + b, self.ranks) == [a, b]
+            known, x, y, until = True, a, b, NEVER
+            while True:
+                if self.ranks.get(self.bytes[x] + self.bytes[y], NEVER) < until:
+                    known = False
+                    break
+                left, right = x in self.halves, y in self.halves
+                if right and (not left or y >= x):
+                    until, y = y + 1, self.halves[y][0]  # the border is to the left of it: it wins a tie
+                elif left:
+                    until, x = x, self.halves[x][1]
+                else:
+                    break
+            self.apart[key] = known
         return known
 
-    def step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        here, live = None, []
-        for node, tokens in self.states[state]:
-            grown = self.next.get(node << 8 | byte)
+    def step(self, state: State, byte: int) -> tuple[State, tuple[int, ...]]:
+        here, live, onward, inner = None, [], self.next, self.inner
+        for node, tokens in state.live:
+            grown = onward.get(node << 8 | byte)
             if grown is None:
                 continue
-            if grown in self.inner:
+            if grown in inner:
                 live.append((grown, tokens))
             if here is None and (t := self.token[grown]) is not None and (not tokens or self.stays(tokens[-1], t)):
                 here = (*tokens, t)
         assert here is not None, "a vocabulary must hold every single byte"
-        live.append((0, here))
         # What all have in common goes out, but each keeps its last token, which the next must stay apart from.
-        common, shortest = 0, min([len(tokens) for _, tokens in live]) - 1
-        while common < shortest and all(tokens[common] == here[common] for _, tokens in live):
-            common += 1
+        common = 0
+        if not live:
+            common = len(here) - 1
+        elif (shortest := min([len(tokens) for _, tokens in live]) - 1) > 0:
+            while common < shortest and all([tokens[common] == here[common] for _, tokens in live]):
+                common += 1
+        live.append((0, here))
         following = tuple([(node, tokens[common:]) for node, tokens in live]) if common else tuple(live)
-        number = self.number.setdefault(following, len(self.states))
-        if number == len(self.states):
-            self.states.append(following)
-            self.steps.append({})
-        made = self.steps[state][byte] = (number, tuple([self.ranks[t] for t in here[:common]]))
+        known = self.states.get(following)
+        if known is None:
+            if len(self.states) >= self.most:
+                self.reset()
+            known = self.states[following] = State(self, following)
+        made = state[byte] = (known, here[:common])
         return made
 
     def encode(self, piece: bytes) -> list[int]:
-        if len(self.states) > self.most:
-            self.reset()
-        state, ids, steps = 0, [], self.steps
+        state, ids = self.start, []
         for byte in piece:
-            known = steps[state].get(byte)
-            state, out = known if known is not None else self.step(state, byte)
+            state, out = state[byte]
             if out:
                 ids += out
-        return ids + [self.ranks[t] for t in self.states[state][-1][1]]
+        ids += state.live[-1][1]
+        return ids
 
 
 class Utf8:
@@ -194,43 +238,52 @@ class Utf8:
             return "".join(self.stream(iter(ids)))
 
 
+class Known(dict):
+    """What was made from strings before, at most so many short ones; what is missing is made."""
+
+    def __init__(self, make: Callable[[str], tuple[int, ...]], most: int) -> None:
+        self.make, self.most = make, most
+
+    def __missing__(self, key: str) -> tuple[int, ...]:
+        made = self.make(key)
+        if len(key) < LONG:
+            if len(self) >= self.most:
+                self.clear()
+            self[key] = made
+        return made
+
+
 class Codec:
     """Encodes and decodes whole texts; what was met before is looked up.
 
-    The pattern's matches never reach over a space that stands before other than white space, unless the match starts
-    with that space. So a text falls into parts at such spaces, and parts are split by the pattern on their own.
+    The pattern's matches must never reach over a space that stands before other than white space, unless the match
+    starts with that space. So a text falls into parts at such spaces, and parts are split by the pattern on their own.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, tokens: dict[bytes, int] | None = None) -> None:
+    def __init__(self, ranks: dict[bytes, int], pattern: str, tokens: dict[bytes, tuple[int, int]] | None = None) -> None:
         self.find = regex.compile(pattern).findall
         self.machine = Transducer(ranks, tokens or reachable(ranks))
         self.ranks, self.text = ranks, None
         self.digits = {i: str(i) for i in ranks.values()}.__getitem__
-        self.pieces: dict[str, tuple[int, ...]] = {}
-        self.parts: dict[str, tuple[int, ...]] = {}
+        self.pieces = Known(self.piece, MOST_PIECES)
+        self.parts = Known(self.part, MOST_PARTS)
 
     def piece(self, piece: str) -> tuple[int, ...]:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            data = piece.encode("utf-8", "surrogatepass")
-            ids = (self.machine.ranks[data],) if data in self.machine.ranks else tuple(self.machine.encode(data))
-            if len(self.pieces) >= MOST_PIECES:
-                self.pieces.clear()
-            if len(piece) < 100:
-                self.pieces[piece] = ids
-        return ids
+        data = piece.encode("utf-8", "surrogatepass")
+        rank = self.ranks.get(data)
+        return tuple(self.machine.encode(data)) if rank is None else (rank,)
 
     def part(self, part: str) -> tuple[int, ...]:
-        return tuple(chain.from_iterable(map(self.piece, self.find(part))))
+        """The ids of a part and the space before it."""
+        return self.split(" " + part)
+
+    def split(self, text: str) -> tuple[int, ...]:
+        found = self.find(text)
+        return self.pieces[found[0]] if len(found) == 1 else tuple(chain.from_iterable(map(self.pieces.__getitem__, found)))
 
     def encode(self, text: str) -> list[int]:
         first, *rest = BREAK.split(text) if UNEVEN(text) else text.split(" ")
-        if len(self.parts) > MOST_PARTS:
-            self.parts.clear()
-        known = self.parts
-        for p in set(rest).difference(known):
-            known[p] = self.part(" " + p)
-        return [*self.part(first), *chain.from_iterable(map(known.__getitem__, rest))]
+        return [*self.split(first), *chain.from_iterable(map(self.parts.__getitem__, rest))]
 
     def decode(self, ids: list[int]) -> str:
         if self.text is None:

@@ -62,3 +62,31 @@ def test_round_trip(spark, pair):
     coded = bpe.encode(docs, PATH, public_tokenizers.PATTERN)
     assert [r.text for r in bpe.decode(coded, PATH).orderBy("doc_id", "text").collect()] == ["x  y", "Hello, wörld", "Hello, wörld", "", ""]
     assert bpe.round_trip(docs.limit(0), PATH, public_tokenizers.PATTERN).count() == 0
+
+
+def test_borders_stay_as_merging_says(pair):
+    machine = pair[0].machine
+    rnd = random.Random(4)
+    met = [machine.ranks[t] for t in bpe.reachable(machine.ranks)]
+    short = [i for i in met if len(machine.bytes[i]) <= 3]
+    for k in range(60_000):
+        a, b = rnd.choice(short if k % 2 else met), rnd.choice(short if k % 3 else met)
+        x, y = machine.bytes[a], machine.bytes[b]
+        assert machine.stays(a, b) == (bpe.merge(x + y, machine.ranks) == [x, y]), (x, y)
+    for unit in (b"a", b"ab", b"=", b"\n", b"aab"):
+        alike = [i for i in met if not machine.bytes[i].strip(unit)]
+        for a in alike:
+            for b in alike:
+                x, y = machine.bytes[a], machine.bytes[b]
+                assert machine.stays(a, b) == (bpe.merge(x + y, machine.ranks) == [x, y]), (x, y)
+
+
+def test_what_is_kept_is_bounded(pair):
+    codec = bpe.Codec(pair[0].ranks, public_tokenizers.PATTERN)
+    codec.machine.most, codec.pieces.most, codec.parts.most = 1000, 200, 200
+    rnd = random.Random(6)
+    letters = "".join(rnd.choice("日本語的中文字国人大abcxyz") for _ in range(60_000))
+    for text in (letters, " ".join(letters[i : i + 7] for i in range(0, 60_000, 7)), " ".join([letters[:5000]] * 3), "。".join(letters[i : i + 9] for i in range(0, 60_000, 9))):
+        assert codec.encode(text) == pair[1].encode_ordinary(text)
+        assert len(codec.machine.states) <= 1000 and len(codec.pieces) <= 200 and len(codec.parts) <= 200
+        assert max(map(len, [*codec.pieces, *codec.parts]), default=0) < bpe.LONG
