@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .workqueue import worth_queueing
+
 
 def upsert_newer(base: DataFrame, incoming: DataFrame, keys: list[str], ts: str = "observed_at", required: Sequence[str] = ()) -> DataFrame:
     """base with incoming merged in: per key the newest row; a tie with a stored row goes to the incoming one.
@@ -88,30 +90,52 @@ def new_since(listed: DataFrame, key: str, highest: int) -> DataFrame:
     return listed.select(key).distinct().filter(F.col(key) > highest).orderBy(key)
 
 
-AFFILIATION = ("group_id", "parent_id")
+AFFILIATION = ("group_id", "parent_id", "title")
 
 
 def classify_affiliation(results: DataFrame, stored: DataFrame, key: str, closed_group: int) -> DataFrame:
-    """results with class, the first that fits, and changed.
+    """results with class, the first that fits, and changed (whether the entity is to be read again).
 
-    results: (key, valid, group_id, parent_id, title); stored adds deleted. invalid: a live stored row that the source
-    refuses (to be marked deleted); unknown: not stored; moved_to_deleted: now in the group of closed ones;
-    restored_or_moved: stored as deleted, or in another group or parent; attributes_only; same.
+    results: (key, valid, group_id, parent_id, title); stored adds deleted; a result without a key is left out. invalid:
+    a live stored row that the source refuses; unknown: not stored; moved_to_deleted: now in the group of closed ones,
+    and not yet stored so; restored_or_moved: stored as deleted, or in another group; attributes_only: parent or title
+    differ; same. Only unknown and restored_or_moved are changed.
     """
-    s = stored.select(F.col(key), *[F.col(c).alias(f"s_{c}") for c in (*AFFILIATION, "title", "deleted")], F.lit(True).alias("there"))
-    j = results.join(s, key, "left")
+    s = stored.select(F.col(key), *[F.col(c).alias(f"s_{c}") for c in (*AFFILIATION, "deleted")], F.lit(True).alias("there"))
+    j = results.filter(F.col(key).isNotNull()).join(s, key, "left")
     known = F.col("there").isNotNull()
-    moved = F.col("s_deleted") | ~F.col("group_id").eqNullSafe(F.col("s_group_id")) | ~F.col("parent_id").eqNullSafe(F.col("s_parent_id"))
+    same = {c: F.col(c).eqNullSafe(F.col(f"s_{c}")) for c in AFFILIATION}
+    closed = F.coalesce(F.col("group_id") == closed_group, F.lit(False))
     kind = (
         F.when(~F.col("valid") & known & ~F.col("s_deleted"), "invalid")
         .when(~F.col("valid"), "same")
         .when(~known, "unknown")
-        .when((F.col("group_id") == closed_group) & ~F.col("s_deleted"), "moved_to_deleted")
-        .when(moved, "restored_or_moved")
-        .when(~F.col("title").eqNullSafe(F.col("s_title")), "attributes_only")
+        .when(closed & F.col("s_deleted") & same["group_id"], "same")
+        .when(closed, "moved_to_deleted")
+        .when(F.col("s_deleted") | ~same["group_id"], "restored_or_moved")
+        .when(~same["parent_id"] | ~same["title"], "attributes_only")
         .otherwise("same")
     )
-    return j.select(*results.columns, kind.alias("class")).withColumn("changed", ~F.col("class").isin("same", "attributes_only"))
+    return j.select(*results.columns, kind.alias("class")).withColumn("changed", F.col("class").isin("unknown", "restored_or_moved"))
+
+
+def affiliation_rows(classified: DataFrame, stored: DataFrame, key: str) -> DataFrame:
+    """The stored rows that classified results change, with their new values.
+
+    invalid: marked deleted, nothing else; moved_to_deleted: in the closed group, without parent and title, deleted;
+    restored_or_moved: the result's values, not deleted; attributes_only: the result's parent and title.
+    """
+    new = classified.filter(F.col("class").isin("invalid", "moved_to_deleted", "restored_or_moved", "attributes_only"))
+    new = new.select(key, *[F.col(c).alias(f"n_{c}") for c in AFFILIATION], "class")
+    is_ = lambda *kinds: F.col("class").isin(*kinds)
+    values = {
+        "group_id": F.when(is_("moved_to_deleted", "restored_or_moved"), F.col("n_group_id")).otherwise(F.col("group_id")),
+        "deleted": F.when(is_("attributes_only"), F.col("deleted")).otherwise(~is_("restored_or_moved")),
+    }
+    for c in ("parent_id", "title"):
+        values[c] = F.when(is_("restored_or_moved", "attributes_only"), F.col(f"n_{c}")).when(is_("invalid"), F.col(c))
+    j = stored.join(new, key)
+    return j.select(*[values[c].cast(stored.schema[c].dataType).alias(c) if c in values else F.col(c) for c in stored.columns])
 
 
 def unknown_parents(results: DataFrame, parents: DataFrame, parent: str = "parent_id") -> DataFrame:
@@ -119,27 +143,42 @@ def unknown_parents(results: DataFrame, parents: DataFrame, parent: str = "paren
     return results.filter(F.col(parent).isNotNull()).select(parent).distinct().join(parents, parent, "left_anti")
 
 
-def membership_diff(listed: DataFrame, stored: DataFrame, group: str, member: str, stale_before) -> DataFrame:
-    """(group, member, change) per group: joined, left, unknown and active (the same but observed before a time).
+def _stale(ids: DataFrame, key: str, queue: DataFrame, kind: str, before) -> DataFrame:
+    """(key) of the ids that the queue has no entry for, or whose entry was never refreshed or before a time."""
+    asked = ids.select(F.lit(kind).alias("kind"), F.col(key).alias("entity_id"))
+    return worth_queueing(asked, queue, before).select(F.col("entity_id").alias(key))
 
-    listed: (group, member); stored: (member, group, observed_at). A member of another stored group joined; one that
-    isn't stored is unknown; one stored in a listed group but not listed there left, and isn't written.
+
+def membership_diff(listed: DataFrame, stored: DataFrame, group: str, member: str, queue: DataFrame, kind: str, stale_before) -> DataFrame:
+    """(group, member, change) per group: joined, left, unknown and active (the same, but stale by the queue).
+
+    listed, stored: (group, member); queue: entries of the work queue, in which members are of the given kind. A member
+    of another stored group joined; one that isn't stored is unknown; one stored in a listed group but not listed there
+    left, and isn't written. Active ones have no entry or were not refreshed since stale_before.
     """
-    own = stored.select(member, F.col(group).alias("stored_group"), "observed_at", F.lit(True).alias("there"))
+    own = stored.select(member, F.col(group).alias("stored_group"), F.lit(True).alias("there"))
     groups = listed.select(group).distinct()
     here = listed.select(group, member).distinct().join(own, member, "left")
-    change = F.when(F.col("there").isNull(), "unknown").when(~F.col("stored_group").eqNullSafe(F.col(group)), "joined").when(F.col("observed_at") < F.lit(stale_before).cast("timestamp"), "active")
-    seen = here.select(group, member, change.alias("change")).filter("change IS NOT NULL")
+    change = F.when(F.col("there").isNull(), "unknown").when(~F.col("stored_group").eqNullSafe(F.col(group)), "joined")
+    here = here.select(group, member, change.alias("change"))
+    same = here.filter("change IS NULL").select(group, member)
+    active = same.join(_stale(same, member, queue, kind, stale_before), member, "left_semi").select(group, member, F.lit("active").alias("change"))
     gone = stored.join(groups, group, "left_semi").select(group, member).join(listed, [group, member], "left_anti")
-    return seen.unionByName(gone.withColumn("change", F.lit("left")))
+    return here.filter("change IS NOT NULL").unionByName(active).unionByName(gone.withColumn("change", F.lit("left")))
 
 
-def group_diff(live: DataFrame, stored: DataFrame, key: str, stale_before) -> DataFrame:
-    """(key, change): closed if no longer listed, new if not stored, active if stored long ago."""
-    a = live.select(key, F.lit(True).alias("live"))
-    b = stored.select(key, F.col("deleted"), "observed_at", F.lit(True).alias("there"))
-    change = F.when(F.col("there").isNull() | (F.col("live") & F.col("deleted")), "new").when(F.col("live").isNull() & ~F.col("deleted"), "closed").when(F.col("live") & (F.col("observed_at") < F.lit(stale_before).cast("timestamp")), "active")
-    return a.join(b, key, "full_outer").select(key, change.alias("change")).filter("change IS NOT NULL")
+def group_diff(live: DataFrame, stored: DataFrame, key: str, queue: DataFrame, kind: str, stale_before) -> DataFrame:
+    """(key, change): closed if stored live and no longer listed, new if not stored, active if stored and stale by the queue.
+
+    A listed group that is stored as deleted is known, so it is active if stale and never new.
+    """
+    a = live.select(key).distinct().withColumn("live", F.lit(True))
+    b = stored.select(key, "deleted", F.lit(True).alias("there"))
+    change = F.when(F.col("there").isNull(), "new").when(F.col("live").isNull() & ~F.col("deleted"), "closed")
+    both = a.join(b, key, "full_outer").select(key, "live", change.alias("change"))
+    known = both.filter("live AND change IS NULL").select(key)
+    active = _stale(known, key, queue, kind, stale_before).withColumn("change", F.lit("active"))
+    return both.filter("change IS NOT NULL").select(key, "change").unionByName(active)
 
 
 def mark_deleted(df: DataFrame, ids: DataFrame, key: str, observed_at) -> DataFrame:

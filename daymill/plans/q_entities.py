@@ -32,10 +32,10 @@ def seed_all(spark, sf_dir):
     return entities.seed_all(base_snapshot(spark, sf_dir), parts, ["id"]).select("id", "name", "title", _text("observed_at"), "source")
 
 
-@query("SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderkey % 100 = 0)")
+@query("SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
 def entity_lookup(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
-    return entities.lookup(c, table(spark, sf_dir, "orders").filter("o_orderkey % 100 = 0").select(F.col("o_custkey").alias("id")), "id")
+    return entities.lookup(c, table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("id")), "id")
 
 
 def _affiliates(spark, sf_dir):
@@ -96,18 +96,39 @@ def new_since(spark, sf_dir):
     return entities.new_since(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("id")), "id", 100)
 
 
-@query(f"""WITH {AFFILIATES_SQL}, r AS (
-  SELECT c_custkey AS id, c_custkey % 31 <> 0 AS valid, CASE WHEN c_custkey % 13 = 0 THEN (c_nationkey + 1) % 25 WHEN c_custkey % 17 = 0 THEN 7 ELSE c_nationkey END AS group_id, c_nationkey % 5 AS parent_id,
-    CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_mktsegment END AS title FROM customer),
+_AFFILIATION = f"""WITH {AFFILIATES_SQL}, r AS (
+  SELECT c_custkey AS id, c_custkey % 31 <> 0 AS valid, CASE WHEN c_custkey % 13 = 0 THEN (c_nationkey + 1) % 25 WHEN c_custkey % 17 = 0 THEN 7 ELSE c_nationkey END AS group_id,
+    CASE WHEN c_custkey % 29 = 0 THEN 77 ELSE c_nationkey % 5 END AS parent_id, CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_mktsegment END AS title FROM customer),
 s AS (SELECT * FROM snap WHERE id % 19 <> 0),
-k AS (SELECT r.id, r.group_id, CASE WHEN NOT valid AND s.id IS NOT NULL AND NOT s.deleted THEN 'invalid' WHEN NOT valid THEN 'same' WHEN s.id IS NULL THEN 'unknown' WHEN r.group_id = 7 AND NOT s.deleted THEN 'moved_to_deleted'
-  WHEN s.deleted OR r.group_id IS DISTINCT FROM s.group_id OR r.parent_id IS DISTINCT FROM s.parent_id THEN 'restored_or_moved' WHEN r.title IS DISTINCT FROM s.title THEN 'attributes_only' ELSE 'same' END AS class FROM r LEFT JOIN s ON r.id = s.id)
-SELECT id, class, class NOT IN ('same', 'attributes_only') AS changed FROM k""")
-def affiliation_diff(spark, sf_dir):
+k AS (SELECT r.id, r.group_id, r.parent_id, r.title, s.group_id AS old_group, s.parent_id AS old_parent, s.title AS old_title, s.deleted,
+  CASE WHEN NOT valid THEN CASE WHEN s.id IS NOT NULL AND NOT s.deleted THEN 'invalid' ELSE 'same' END WHEN s.id IS NULL THEN 'unknown'
+    WHEN r.group_id = 7 THEN CASE WHEN NOT s.deleted OR s.group_id IS DISTINCT FROM 7 THEN 'moved_to_deleted' ELSE 'same' END
+    WHEN r.group_id IS DISTINCT FROM s.group_id OR s.deleted THEN 'restored_or_moved'
+    WHEN r.parent_id IS DISTINCT FROM s.parent_id OR r.title IS DISTINCT FROM s.title THEN 'attributes_only' ELSE 'same' END AS class
+  FROM r LEFT JOIN s ON r.id = s.id)"""
+
+
+def _affiliation(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     group = F.when(F.col("c_custkey") % 13 == 0, (F.col("c_nationkey") + 1) % 25).when(F.col("c_custkey") % 17 == 0, 7).otherwise(F.col("c_nationkey"))
-    r = c.select(F.col("c_custkey").alias("id"), (F.col("c_custkey") % 31 != 0).alias("valid"), group.alias("group_id"), (F.col("c_nationkey") % 5).alias("parent_id"), F.when(F.col("c_custkey") % 11 != 0, F.col("c_mktsegment")).alias("title"))
-    return entities.classify_affiliation(r, _affiliates(spark, sf_dir).filter("id % 19 <> 0"), "id", 7).select("id", "class", "changed")
+    parent = F.when(F.col("c_custkey") % 29 == 0, 77).otherwise(F.col("c_nationkey") % 5)
+    r = c.select(F.col("c_custkey").alias("id"), (F.col("c_custkey") % 31 != 0).alias("valid"), group.alias("group_id"), parent.alias("parent_id"), F.when(F.col("c_custkey") % 11 != 0, F.col("c_mktsegment")).alias("title"))
+    stored = _affiliates(spark, sf_dir).filter("id % 19 <> 0")
+    return entities.classify_affiliation(r, stored, "id", 7), stored
+
+
+@query(f"{_AFFILIATION} SELECT id, class, class IN ('unknown', 'restored_or_moved') AS changed FROM k")
+def affiliation_diff(spark, sf_dir):
+    return _affiliation(spark, sf_dir)[0].select("id", "class", "changed")
+
+
+@query(f"""{_AFFILIATION} SELECT id, CASE class WHEN 'moved_to_deleted' THEN 7 WHEN 'restored_or_moved' THEN group_id ELSE old_group END AS group_id,
+  CASE class WHEN 'moved_to_deleted' THEN NULL WHEN 'invalid' THEN old_parent ELSE parent_id END AS parent_id,
+  CASE class WHEN 'moved_to_deleted' THEN NULL WHEN 'invalid' THEN old_title ELSE title END AS title,
+  CASE class WHEN 'restored_or_moved' THEN false WHEN 'attributes_only' THEN deleted ELSE true END AS deleted FROM k WHERE class NOT IN ('same', 'unknown')""")
+def affiliation_rows(spark, sf_dir):
+    classified, stored = _affiliation(spark, sf_dir)
+    return entities.affiliation_rows(classified, stored, "id")
 
 
 @query("SELECT DISTINCT c_nationkey AS parent_id FROM customer WHERE c_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_nationkey % 4 = 0)")
@@ -115,29 +136,38 @@ def unknown_parents(spark, sf_dir):
     return entities.unknown_parents(table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("parent_id")), table(spark, sf_dir, "nation").filter("n_nationkey % 4 = 0").select(F.col("n_nationkey").alias("parent_id")))
 
 
-@query("""WITH st AS (SELECT c_nationkey AS group_id, c_custkey AS member_id, CASE WHEN c_custkey % 2 = 0 THEN TIMESTAMP '2024-01-01' ELSE TIMESTAMP '2024-03-01' END AS observed_at FROM customer WHERE c_custkey % 19 <> 0),
+def _entries(spark, sf_dir, kind):
+    """A work queue of the customers: a third has no entry, the others were refreshed at one of two times or never."""
+    at = F.when(F.col("c_custkey") % 2 == 0, F.lit("2024-01-01")).when(F.col("c_custkey") % 5 != 0, F.lit("2024-03-01")).cast("timestamp_ntz")
+    return table(spark, sf_dir, "customer").filter("c_custkey % 3 <> 0").select(F.lit(kind).alias("kind"), F.col("c_custkey").alias("entity_id"), at.alias("last_refreshed_at"))
+
+
+#: Whether _entries has the id as stale: without an entry, never refreshed, or refreshed before February.
+_STALE = "({0} % 3 = 0 OR {0} % 2 = 0 OR {0} % 5 = 0)"
+
+
+@query(f"""WITH st AS (SELECT c_nationkey AS group_id, c_custkey AS member_id FROM customer WHERE c_custkey % 19 <> 0),
 li AS (SELECT CASE WHEN c_custkey % 13 = 0 THEN (c_nationkey + 1) % 25 ELSE c_nationkey END AS group_id, c_custkey AS member_id FROM customer WHERE c_custkey % 17 <> 0)
-SELECT * FROM (SELECT li.group_id, li.member_id, CASE WHEN st.member_id IS NULL THEN 'unknown' WHEN st.group_id <> li.group_id THEN 'joined' WHEN observed_at < TIMESTAMP '2024-02-01' THEN 'active' END AS change FROM li LEFT JOIN st USING (member_id)) WHERE change IS NOT NULL
+SELECT * FROM (SELECT li.group_id, li.member_id, CASE WHEN st.member_id IS NULL THEN 'unknown' WHEN st.group_id <> li.group_id THEN 'joined' WHEN {_STALE.format("li.member_id")} THEN 'active' END AS change FROM li LEFT JOIN st USING (member_id)) WHERE change IS NOT NULL
 UNION ALL SELECT group_id, member_id, 'left' FROM st WHERE group_id IN (SELECT group_id FROM li) AND NOT EXISTS (SELECT 1 FROM li WHERE li.group_id = st.group_id AND li.member_id = st.member_id)""")
 def membership_diff(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
-    stored = c.filter("c_custkey % 19 <> 0").select(F.col("c_nationkey").alias("group_id"), F.col("c_custkey").alias("member_id"), F.when(F.col("c_custkey") % 2 == 0, F.lit("2024-01-01")).otherwise("2024-03-01").cast("timestamp").alias("observed_at"))
+    stored = c.filter("c_custkey % 19 <> 0").select(F.col("c_nationkey").alias("group_id"), F.col("c_custkey").alias("member_id"))
     listed = c.filter("c_custkey % 17 <> 0").select(F.when(F.col("c_custkey") % 13 == 0, (F.col("c_nationkey") + 1) % 25).otherwise(F.col("c_nationkey")).alias("group_id"), F.col("c_custkey").alias("member_id"))
-    return entities.membership_diff(listed, stored, "group_id", "member_id", "2024-02-01")
+    return entities.membership_diff(listed, stored, "group_id", "member_id", _entries(spark, sf_dir, "member"), "member", "2024-02-01")
 
 
-@query("""SELECT c_custkey AS id, CASE WHEN c_custkey % 5 = 0 AND c_custkey % 7 <> 0 AND c_custkey % 23 <> 0 THEN 'closed' WHEN c_custkey % 5 <> 0 AND (c_custkey % 7 = 0 OR c_custkey % 23 = 0) THEN 'new' WHEN c_custkey % 5 <> 0 AND c_custkey % 2 = 0 THEN 'active' END AS change
-FROM customer WHERE CASE WHEN c_custkey % 5 = 0 AND c_custkey % 7 <> 0 AND c_custkey % 23 <> 0 THEN 'closed' WHEN c_custkey % 5 <> 0 AND (c_custkey % 7 = 0 OR c_custkey % 23 = 0) THEN 'new' WHEN c_custkey % 5 <> 0 AND c_custkey % 2 = 0 THEN 'active' END IS NOT NULL""")
+@query(f"""SELECT id, change FROM (SELECT c_custkey AS id, CASE WHEN c_custkey % 5 = 0 THEN CASE WHEN c_custkey % 7 <> 0 AND c_custkey % 23 <> 0 THEN 'closed' END
+  WHEN c_custkey % 7 = 0 THEN 'new' WHEN {_STALE.format("c_custkey")} THEN 'active' END AS change FROM customer) WHERE change IS NOT NULL""")
 def group_diff(spark, sf_dir):
     a = _affiliates(spark, sf_dir)
-    stored = a.filter("id % 7 <> 0").select("id", "deleted", F.when(F.col("id") % 2 == 0, F.lit("2024-01-01")).otherwise("2024-03-01").cast("timestamp").alias("observed_at"))
-    return entities.group_diff(a.filter("id % 5 <> 0").select("id"), stored, "id", "2024-02-01")
+    return entities.group_diff(a.filter("id % 5 <> 0").select("id"), a.filter("id % 7 <> 0"), "id", _entries(spark, sf_dir, "group"), "group", "2024-02-01")
 
 
-@query("SELECT c_custkey AS id, c_custkey % 23 = 0 OR c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderkey % 50 = 0) AS deleted FROM customer")
+@query("SELECT c_custkey AS id, c_custkey % 23 = 0 OR c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P') AS deleted FROM customer")
 def mark_deleted(spark, sf_dir):
     a = _affiliates(spark, sf_dir).withColumn("observed_at", F.lit("2024-01-01").cast("timestamp"))
-    gone = table(spark, sf_dir, "orders").filter("o_orderkey % 50 = 0").select(F.col("o_custkey").alias("id"))
+    gone = table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("id"))
     return entities.mark_deleted(a, gone, "id", "2024-02-01").select("id", "deleted")
 
 
@@ -150,10 +180,10 @@ def expand_members(spark, sf_dir):
     return entities.expand_members(r, n, c, "top_id", "group_id", "member_id")
 
 
-@query("""SELECT c_name AS name, c_custkey AS id, true AS matched FROM customer WHERE c_custkey % 20 = 0 UNION ALL SELECT 'nobody ' || c_custkey, NULL, false FROM customer WHERE c_custkey % 50 = 1""")
+@query("""SELECT c_name AS name, c_custkey AS id, true AS matched FROM customer UNION ALL SELECT 'nobody ' || c_custkey, NULL, false FROM customer""")
 def resolve_names(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
-    asked = c.filter("c_custkey % 20 = 0").select(F.concat(F.lit(" "), "c_name").alias("name")).unionByName(c.filter("c_custkey % 50 = 1").select(F.concat(F.lit("nobody "), F.col("c_custkey").cast("string")).alias("name"))).unionByName(c.filter("c_custkey % 40 = 0").select(F.lower("c_name").alias("name")).filter("false")).unionByName(c.limit(2).select(F.lit("  ").alias("name")))
+    asked = c.select(F.explode(F.array(F.concat(F.lit(" "), "c_name"), F.lower("c_name"), F.concat(F.lit("nobody "), F.col("c_custkey").cast("string")), F.lit("  "))).alias("name"))
     return entities.resolve_names(asked, c.select(F.col("c_name").alias("name"), "c_custkey"), "c_custkey")
 
 
@@ -207,30 +237,61 @@ def queue_defer(spark, sf_dir):
     return workqueue.defer(q, q.filter("entity_id % 9 <> 0").select("kind", "entity_id", (F.col("entity_id") % 4 == 0).alias("deleted")), 5).select("kind", "entity_id", "priority")
 
 
-@query(f"""WITH {_TAKE}, p AS (SELECT *, CASE WHEN kind IN ('O', 'F') THEN 2 ELSE 1 END AS cost FROM t ORDER BY priority, turn, next_due_at, kind LIMIT 10000),
-s AS (SELECT *, sum(cost) OVER (ORDER BY priority, turn, next_due_at, kind ROWS UNBOUNDED PRECEDING) AS spent FROM p) SELECT kind, entity_id, CAST(spent AS BIGINT) AS spent FROM s WHERE spent <= 700""")
+@query(f"""WITH {_TAKE}, s AS (SELECT *, sum(CASE WHEN kind IN ('O', 'F') AND NOT (priority IN (2, 5) AND entity_id % 2 = 0) THEN 2 ELSE 1 END) OVER (ORDER BY priority, turn, next_due_at, kind ROWS UNBOUNDED PRECEDING) AS spent FROM t)
+SELECT kind, entity_id, CAST(spent AS BIGINT) AS spent FROM s WHERE spent <= 5000""")
 def queue_within_budget(spark, sf_dir):
-    return workqueue.within_budget(queue(spark, sf_dir), NOW, 700, {"O": 2, "F": 2}).select("kind", "entity_id", "spent")
+    q = queue(spark, sf_dir)
+    stored = q.filter("entity_id % 2 = 0").select("kind", "entity_id")
+    return workqueue.within_budget(q, NOW, 5000, {"O": 2, "F": 2}, stored, light=(2, 5)).select("kind", "entity_id", "spent")
+
 
+#: By entity_id % 8; 403 and 420 leave the entry alone, 408, 429 and 503 are tried again, 404 and 400 are parked.
+_STATUS = (200, 404, 503, 429, 403, 408, 420, 400)
 
-@query(f"""WITH {QUEUE_SQL}, o AS (SELECT kind, entity_id, CASE entity_id % 4 WHEN 0 THEN 200 WHEN 1 THEN 404 WHEN 2 THEN 503 END AS status FROM q WHERE entity_id % 4 < 3)
-SELECT kind, entity_id, CASE WHEN status IN (200, 404) THEN 9 ELSE priority END AS priority, CASE WHEN status IS NULL THEN failures WHEN status = 200 THEN 0 ELSE failures + 1 END AS failures,
-  strftime(CASE WHEN status IS NULL THEN next_due_at WHEN status = 200 THEN TIMESTAMP '2024-01-01' + INTERVAL 3650 DAY WHEN status = 404 THEN TIMESTAMP '2024-01-01' + INTERVAL 365 DAY ELSE TIMESTAMP '2024-01-01' + to_hours(CAST(least(pow(2, failures), 24) AS BIGINT)) END, '%Y-%m-%d %H:%M:%S') AS next_due_at,
-  CASE WHEN status IS NULL THEN last_error WHEN status = 200 THEN NULL ELSE 'e' || status END AS last_error FROM q LEFT JOIN o USING (kind, entity_id)""")
+
+@query(f"""WITH {QUEUE_SQL}, o AS (SELECT *, list_extract({list(_STATUS)}, CAST(entity_id % 8 + 1 AS BIGINT)) AS status, entity_id % 9 <> 0 AS asked FROM q),
+c AS (SELECT *, CASE WHEN NOT asked OR status IN (403, 420) THEN 'none' WHEN status = 200 THEN 'ok' WHEN status IN (404, 400) THEN 'parked' ELSE 'again' END AS outcome FROM o)
+SELECT kind, entity_id, CASE WHEN outcome IN ('ok', 'parked') THEN 9 ELSE priority END AS priority, CASE outcome WHEN 'none' THEN failures WHEN 'ok' THEN 0 ELSE failures + 1 END AS failures,
+  strftime(CASE outcome WHEN 'none' THEN next_due_at WHEN 'ok' THEN TIMESTAMP '2024-01-01' + INTERVAL 3650 DAY WHEN 'parked' THEN TIMESTAMP '2024-01-01' + INTERVAL 365 DAY ELSE TIMESTAMP '2024-01-01' + to_hours(CAST(least(pow(2, failures), 24) AS BIGINT)) END, '%Y-%m-%d %H:%M:%S') AS next_due_at,
+  CASE outcome WHEN 'none' THEN last_error WHEN 'ok' THEN NULL ELSE 'HTTP ' || status END AS last_error FROM c""")
 def queue_apply(spark, sf_dir):
     q = queue(spark, sf_dir)
-    status = F.when(F.col("entity_id") % 4 == 0, 200).when(F.col("entity_id") % 4 == 1, 404).otherwise(503)
-    done = q.filter("entity_id % 4 < 3").select("kind", "entity_id", F.lit("2024-01-01").cast("timestamp_ntz").alias("at"), status.alias("status")).withColumn("error", F.concat(F.lit("e"), F.col("status").cast("string")))
+    status = F.element_at(F.array(*map(F.lit, _STATUS)), (F.col("entity_id") % 8 + 1).cast("int"))
+    done = q.filter("entity_id % 9 <> 0").select("kind", "entity_id", F.lit("2024-01-01").cast("timestamp_ntz").alias("at"), status.alias("status")).withColumn("error", F.concat(F.lit("HTTP "), F.col("status").cast("string")))
     return workqueue.apply_outcomes(q, done).select("kind", "entity_id", "priority", "failures", _text("next_due_at"), "last_error")
 
 
-@query("""WITH f AS (SELECT 'customer' AS kind, o_custkey AS entity_id, 0 AS tier FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT 'customer', c_custkey, 1 FROM customer)
-SELECT kind, entity_id, min(tier) AS tier FROM f WHERE entity_id % 10 <> 0 GROUP BY ALL ORDER BY tier, entity_id DESC, kind LIMIT 300""")
-def crawl_feed(spark, sf_dir):
+#: Customers and suppliers as the crawl's entities; some have an entry, of which few of the crawl class (5) are due.
+_CRAWL = """live AS (SELECT 'customer' AS kind, c_custkey AS entity_id FROM customer UNION ALL SELECT 'supplier', s_suppkey FROM supplier),
+en AS (SELECT kind, entity_id, CASE WHEN entity_id % 20 = 0 THEN 5 ELSE 1 END AS priority, CASE WHEN entity_id % 20 = 0 THEN TIMESTAMP '2030-01-01' ELSE TIMESTAMP '2020-01-01' END AS next_due_at FROM live WHERE entity_id % 10 = 0)"""
+
+
+def _crawl(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select(F.lit("customer").alias("kind"), F.col("c_custkey").alias("entity_id"))
-    entries = c.filter("entity_id % 10 = 0").select("kind", "entity_id", F.lit(5).alias("priority"), F.lit(None).cast("timestamp_ntz").alias("last_refreshed_at"), F.lit("2030-01-01").cast("timestamp_ntz").alias("next_due_at"))
-    facts = table(spark, sf_dir, "orders").filter("o_orderkey % 3 = 0").select(F.lit("customer").alias("kind"), F.col("o_custkey").alias("entity_id"))
-    return workqueue.crawl_feed(entries, facts, c, "2024-01-01", 10, 300)
+    live = c.unionByName(table(spark, sf_dir, "supplier").select(F.lit("supplier").alias("kind"), F.col("s_suppkey").alias("entity_id")))
+    late = F.col("entity_id") % 20 == 0
+    entries = live.filter("entity_id % 10 = 0").select("*", F.when(late, 5).otherwise(1).alias("priority"), F.lit(None).cast("timestamp_ntz").alias("last_refreshed_at"), F.when(late, F.lit("2030-01-01")).otherwise("2020-01-01").cast("timestamp_ntz").alias("next_due_at"))
+    return live, entries
+
+
+@query(f"""WITH {_CRAWL}, f AS (SELECT 'customer' AS kind, o_custkey AS entity_id FROM orders UNION SELECT 'supplier', l_suppkey FROM lineitem)
+SELECT kind, entity_id FROM f WHERE (kind, entity_id) NOT IN (SELECT (kind, entity_id) FROM en) AND (SELECT count(*) FROM en WHERE priority = 5 AND next_due_at <= TIMESTAMP '2024-01-01') < 10""")
+def crawl_feed(spark, sf_dir):
+    _, entries = _crawl(spark, sf_dir)
+    o, l = (table(spark, sf_dir, t) for t in ("orders", "lineitem"))
+    facts = entities.ids_from_facts([(o, {"o_custkey": "customer"}), (l, {"l_suppkey": "supplier"})]).withColumnRenamed("id", "entity_id")
+    return workqueue.crawl_facts(entries, facts, "2024-01-01", 5, 10)
+
+
+@query(f"""WITH {_CRAWL}, r AS (SELECT kind, entity_id, (row_number() OVER (PARTITION BY kind ORDER BY entity_id DESC) - 1) // 7 AS page, en.priority IS NULL AS wanted FROM live LEFT JOIN en USING (kind, entity_id) WHERE NOT (kind = 'supplier' AND entity_id >= 9)),
+w AS (SELECT kind, page, min(entity_id) AS last_id, sum(CAST(wanted AS INT)) AS n FROM r GROUP BY ALL),
+u AS (SELECT *, sum(n) OVER (PARTITION BY kind ORDER BY page) AS so_far FROM w),
+e AS (SELECT kind, coalesce(max(last_id) FILTER (so_far >= 7), -1) AS cursor FROM u GROUP BY kind)
+SELECT kind, entity_id, CAST(cursor AS BIGINT) AS cursor FROM r JOIN e USING (kind) WHERE wanted AND entity_id >= cursor""")
+def crawl_feed_pages(spark, sf_dir):
+    live, entries = _crawl(spark, sf_dir)
+    cursors = live.filter("kind = 'supplier'").select("kind", F.lit(9).alias("cursor")).distinct()
+    return workqueue.crawl_pages(entries, live, "2024-01-01", 5, 10, 7, cursors)
 
 
 @query(f"WITH {QUEUE_SQL} SELECT kind, entity_id, 3 AS priority FROM q WHERE next_due_at >= TIMESTAMP '1998-01-01' AND (last_refreshed_at IS NULL OR last_refreshed_at < TIMESTAMP '1997-06-01')")

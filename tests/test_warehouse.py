@@ -240,3 +240,64 @@ def test_bounded_results(spark):
     assert sinks.to_rows(df)["row_count"] == 10 and sum(b.num_rows for b in sinks.to_arrow(df, 3)) == 10
     with pytest.raises(ValueError):
         sinks.to_rows(df, 5)
+
+
+QUEUE = "kind string, entity_id long, priority int, last_refreshed_at timestamp, next_due_at timestamp, etag string, failures int, last_error string"
+
+
+def test_affiliation_by_literal_rows(spark):
+    stored = spark.createDataFrame(
+        [(1, 7, None, None, True), (2, 4, 40, "x", True), (3, 5, 50, "x", False), (4, 5, 50, "x", False), (5, 5, 50, "x", False), (6, 5, 50, "x", True), (7, 5, 50, "x", False), (8, 7, None, None, False)],
+        "id long, group_id long, parent_id long, title string, deleted boolean",
+    )
+    results = spark.createDataFrame(
+        [(1, True, 7, None, None), (2, True, 7, None, None), (3, True, 5, 51, "x"), (4, False, None, None, None), (5, True, 7, 70, "y"), (6, True, 5, 50, "x"), (7, True, 6, None, "x"), (8, True, 7, None, None), (9, True, 7, None, None), (10, False, None, None, None), (None, True, 1, 1, "x")],
+        "id long, valid boolean, group_id long, parent_id long, title string",
+    )
+    found = entities.classify_affiliation(results, stored, "id", 7)
+    assert {r.id: (r["class"], r.changed) for r in found.collect()} == {
+        1: ("same", False), 2: ("moved_to_deleted", False), 3: ("attributes_only", False), 4: ("invalid", False), 5: ("moved_to_deleted", False),
+        6: ("restored_or_moved", True), 7: ("restored_or_moved", True), 8: ("moved_to_deleted", False), 9: ("unknown", True), 10: ("same", False),
+    }
+    assert sorted(map(tuple, entities.affiliation_rows(found, stored, "id").collect())) == [
+        (2, 7, None, None, True), (3, 5, 51, "x", False), (4, 5, 50, "x", True), (5, 7, None, None, True), (6, 5, 50, "x", False), (7, 6, None, "x", False), (8, 7, None, None, True),
+    ]
+
+
+def test_refusals_by_status(spark):
+    now = dt.datetime(2024, 1, 1)
+    queue = spark.createDataFrame([("a", s, 3, now, now, None, 1, "old") for s in (200, 400, 403, 404, 408, 410, 420, 429, 500)], QUEUE)
+    done = queue.select("kind", "entity_id", F.lit(now).alias("at"), F.col("entity_id").alias("status"), F.lit("e" * 600).alias("error"))
+    after = {r.entity_id: r for r in workqueue.apply_outcomes(queue, done).collect()}
+    assert {s for s, r in after.items() if r.priority == workqueue.IDLE} == {200, 400, 404, 410}
+    assert all(after[s] == (("a", s, 3, now, now, None, 1, "old")) for s in (403, 420))
+    assert all(after[s].next_due_at == now + dt.timedelta(hours=2) and after[s].failures == 2 and len(after[s].last_error) == 500 for s in (408, 429, 500))
+
+
+def test_groups_and_members_ask_the_queue(spark):
+    queue = spark.createDataFrame([("g", 1, dt.datetime(2024, 3, 1)), ("g", 2, dt.datetime(2024, 1, 1)), ("g", 3, None), ("m", 4, dt.datetime(2024, 1, 1))], "kind string, entity_id long, last_refreshed_at timestamp")
+    ids = lambda *x: spark.createDataFrame([(i,) for i in x], "id long")
+    stored = spark.createDataFrame([(1, False), (2, True), (3, False), (4, False), (5, False), (6, True)], "id long, deleted boolean")
+    got = entities.group_diff(ids(1, 2, 3, 4, 7), stored, "id", queue, "g", "2024-02-01")
+    assert sorted(map(tuple, got.collect())) == [(2, "active"), (3, "active"), (4, "active"), (5, "closed"), (7, "new")]
+
+
+def test_crawl_counts_its_own_class(spark):
+    now, late = dt.datetime(2024, 1, 1), dt.datetime(2030, 1, 1)
+    queue = spark.createDataFrame([("a", i, 1, None, now, None, 0, None) for i in range(50)] + [("a", 50, 5, None, late, None, 0, None)], QUEUE)
+    ids = spark.createDataFrame([("a", i) for i in range(100)] + [("b", i) for i in range(3)], "kind string, entity_id long")
+    assert workqueue.crawl_facts(queue, ids, now, 5, 1).count() == 52
+    assert workqueue.crawl_facts(queue, ids, now, 1, 1).count() == 0
+    page = lambda cursors: sorted(map(tuple, workqueue.crawl_pages(queue, ids, now, 5, 1, 7, cursors).collect()), key=str)
+    assert page(None) == sorted([("a", i, 93) for i in range(93, 100)] + [("b", i, -1) for i in range(3)], key=str)
+    after = spark.createDataFrame([("a", 55), ("b", -1)], "kind string, cursor long")
+    assert page(after) == sorted([("a", i, -1) for i in range(51, 55)], key=str)
+    assert page(spark.createDataFrame([("a", 40), ("b", -1)], "kind string, cursor long")) == [("a", None, -1)]
+
+
+def test_history_alone_costs_one(spark):
+    now = dt.datetime(2024, 1, 1)
+    queue = spark.createDataFrame([("a", i, 5, None, now, None, 0, None) for i in range(10)], QUEUE)
+    stored = spark.createDataFrame([("a", i) for i in range(5)], "kind string, entity_id long")
+    assert workqueue.within_budget(queue, now, 9, {"a": 2}, stored, light=(5,)).count() == 7
+    assert workqueue.within_budget(queue, now, 9, {"a": 2}).count() == 4
