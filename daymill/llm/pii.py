@@ -14,6 +14,7 @@ a row; other columns of the input are not touched.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections import defaultdict
 
@@ -82,14 +83,16 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """(doc_id, found): each row's candidates as structs (at, place, until, kind, base, votes)."""
     named = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     step = named.select("doc_id", "text", *[_spans.hits("text", p).alias(f"hits_{k}") for k, p in KINDS.items()])
-    step = step.select("doc_id", "text", *[_spans.placed("text", p, f"hits_{k}").alias(f"at_{k}") for k, p in KINDS.items()])
+    some = functools.reduce(Column.__or__, [F.size(f"hits_{k}") > 0 for k in KINDS])
+    cut = F.when(some, _spans.pieces("text")).alias("pieces")
+    step = step.select("doc_id", cut, *[_spans.placed("text", p, f"hits_{k}").alias(f"at_{k}") for k, p in KINDS.items()])
 
     def judged(kind: str) -> Column:
         def one(m: Column) -> Column:
-            text, hit = F.col("text"), m["hit"]
+            hit = m["hit"]
             start = F.greatest(m["at"] - BEFORE, F.lit(0))
-            before = F.substring(text, start + 1, m["at"] - start)
-            after = F.substring(text, m["until"] + 1, F.lit(AFTER))
+            before = _spans.part("pieces", start, m["at"] - start)
+            after = _spans.part("pieces", m["until"], F.lit(AFTER))
             n = F.length(_digits(hit))
             check = {
                 "email": _vote(F.length(hit) <= 254, F.length(hit) > 254),

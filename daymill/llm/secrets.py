@@ -213,9 +213,4 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     All rows and all other columns stay as they are; texts without a secret do too, null ones included.
     """
     found = scan(docs, id_col, text_col)
-    text = f"`{text_col}`"
-    joined = F.expr(f"""aggregate(array_sort(__mill_found), struct(0 AS pos, '' AS out),
-        (a, s) -> struct(greatest(a.pos, s.until) AS pos,
-            if(s.at < a.pos, a.out, concat(a.out, substring({text}, a.pos + 1, s.at - a.pos), '<', s.kind, '>')) AS out),
-        a -> concat(a.out, substring({text}, a.pos + 1)))""")
-    return found.withColumn(text_col, F.when(F.size("__mill_found") > 0, joined).otherwise(F.col(text))).drop("__mill_found")
+    return found.withColumn(text_col, _spans.replaced(text_col, "__mill_found")).drop("__mill_found")

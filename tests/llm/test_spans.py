@@ -101,3 +101,23 @@ def test_labelers_gain_reliability():
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert secrets.report(docs).count() == 0 and pii.report(docs).count() == 0 and secrets.redact(docs).count() == 0
+
+
+def test_many_matches_in_one_text(spark):
+    rnd = __import__("random").Random(3)
+    words = ["password: abcdef12", "AKIA" + "B7" * 9, "0123456789abcdef" * 2, "token=é" , "über", "😀", "a1@b.cd", "10.2.3.4", "x"]
+    texts = [" ".join(rnd.choice(words) for _ in range(n)) for n in (1, 2, 3, 50, 3000)] + [" ".join(f"n{i}@b.cd" for i in range(20_000))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.report(docs).collect():
+        spans = [s.split(":") for s in r.spans.split(",") if s]
+        mails = [m.span() for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", texts[r.doc_id])]
+        assert [(int(a), int(b)) for k, a, b in spans if k == "email"] == mails and r.n_email == len(mails)
+    found = {r.doc_id: r.spans for r in secrets.report(docs).collect()}
+    clean = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    for d, text in enumerate(texts):
+        out, at = [], 0
+        for kind, a, b in (s.split(":") for s in found[d].split(",") if s):
+            if int(a) >= at:
+                out += [text[at : int(a)], f"<{kind}>"]
+            at = max(at, int(b))
+        assert clean[d] == "".join(out) + text[at:]
