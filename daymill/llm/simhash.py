@@ -54,7 +54,7 @@ def fingerprint(text: str, words: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp) of every row, fp as a signed long."""
+    """(doc_id, whole, fp) of every row: the text's digest, and the fingerprint as a signed long."""
     small_batches(docs.sparkSession)
 
     @F.pandas_udf("long")
@@ -66,7 +66,8 @@ def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_c
                     known[t] = fingerprint(t, words)
             yield pd.Series(np.array([known[t] for t in texts], np.uint64).view(np.int64))
 
-    return docs.select(F.col(id_col).alias("doc_id"), fps(text_or_empty(text_col)).alias("fp"))
+    text = text_or_empty(text_col)
+    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("whole"), fps(text).alias("fp"))
 
 
 def _patterns() -> np.ndarray:
@@ -175,22 +176,38 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
-def near_duplicates(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text", bucket: int = 64) -> DataFrame:
-    """(doc_id, fp, component_id) of every row; fingerprints link at two or fewer differing bits."""
+def _rooted(docs: DataFrame, words: int, id_col: str, text_col: str, bucket: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, whole, fp) of every row, and (fp, first_id, root) of every fingerprint."""
     fps = materialise(fingerprints(docs, words, id_col, text_col), "simhash")
     firsts = materialise(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
     roots = components(links(firsts, bucket)).select(F.col("node").alias("fp"), "root")
-    rooted = firsts.join(roots, "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    return fps, firsts.join(roots, "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
+
+
+def near_duplicates(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text", bucket: int = 64) -> DataFrame:
+    """(doc_id, fp, component_id) of every row; fingerprints link at two or fewer differing bits."""
+    fps, rooted = _rooted(docs, words, id_col, text_col, bucket)
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of = rooted.join(least, "root").select("fp", "component_id")
     return fps.join(of, "fp").select("doc_id", "fp", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def keep_one(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each component: the row of the smallest id, or one of its rows if several have that id.
+def one_of_each(docs: DataFrame, digests: DataFrame, rooted: DataFrame, node: str, id_col: str, text_col: str) -> DataFrame:
+    """docs with one row of each component; digests: (doc_id, whole, node) of every row, rooted: (node, root).
 
-    Rows with a null id can't be told apart and all stay.
+    That row has the smallest id, and the smallest digest of its text if several texts have that id. If rows repeat both
+    id and text, one of them stays. Aggregates alone, so a component that holds a third of all rows is no hot group.
     """
-    keep = near_duplicates(docs.filter(F.col(id_col).isNotNull()), words, id_col, text_col).select(F.col("component_id").alias("__mill_first")).distinct()
-    named = docs.join(keep, F.col(id_col) == F.col("__mill_first"), "left_semi").dropDuplicates([id_col])
-    return named.unionByName(docs.filter(F.col(id_col).isNull()))
+    first = digests.groupBy(node).agg(F.min(F.struct("doc_id", "whole")).alias("first"))
+    keep = rooted.join(first, node).groupBy("root").agg(F.min("first").alias("first"))
+    keep = keep.select(F.col("first.doc_id").alias("__mill_id"), F.col("first.whole").alias("__mill_whole"))
+    rows = docs.withColumn("__mill_text", F.xxhash64(text_or_empty(text_col)))
+    kept = rows.join(keep, (F.col(id_col) == F.col("__mill_id")) & (F.col("__mill_text") == F.col("__mill_whole")), "left_semi")
+    return kept.dropDuplicates([id_col, "__mill_text"]).drop("__mill_text")
+
+
+def keep_one(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col: str = "text", bucket: int = 64) -> DataFrame:
+    """docs with one row of each component (``one_of_each``). Rows with a null id can't be told apart and all stay."""
+    named = docs.filter(F.col(id_col).isNotNull())
+    kept = one_of_each(named, *_rooted(named, words, id_col, text_col, bucket), "fp", id_col, text_col)
+    return kept.unionByName(docs.filter(F.col(id_col).isNull()))

@@ -9,11 +9,15 @@ most and how often above each threshold, goes into a logistic model that is cali
 were not trained on.
 
 Training takes a bounded sample of labelled rows: at most ``MOST_TOXIC`` and ``MOST_ORDINARY`` documents, in the order
-of a hash of their ids, of ``MOST_CHARS`` characters together. All texts are scored whole.
+of a hash of their ids, of ``MOST_CHARS`` characters together; documents of over ``MOST_TRAINED`` characters aren't
+learnt from, and the ordinary dictionary is trained on at most ``MOST_WINDOWS`` of the sample's windows, drawn at
+random. All texts are scored whole.
 
 Nulls: a null text is empty and an empty text scores as one window without words; labels that are null or name no
-document aren't used; a row with a null id is scored and not held out. With labels of one class only, or none, every
-score is the smoothed share of toxic labels. Other columns of the input are kept by ``keep_ordinary``.
+document aren't used; an id that is labelled both toxic and not counts as toxic; a row with a null id is scored and not
+held out. With fewer than ``LEAST_LABELLED`` toxic or ordinary texts, every score is the smoothed share of toxic labels.
+Repeated rows score alike; an empty table gives an empty result. Other columns of the input are kept by
+``keep_ordinary``.
 """
 
 from __future__ import annotations
@@ -31,7 +35,9 @@ from pyspark.sql import functions as F
 
 from ._common import small_batches, text_or_empty
 
+#: Bounds of the training sample, and the least texts of each label to train on.
 MOST_TOXIC, MOST_ORDINARY, MOST_CHARS = 2000, 5000, 48_000_000
+MOST_TRAINED, MOST_WINDOWS, LEAST_LABELLED = 3_000_000, 30_000, 4
 WINDOW = 12
 THRESHOLDS = (2, 3, 4, 5, 6)
 TIMES, LEAST_DOCUMENTS, MOST_WORDS, FREQUENT = 10, 5, 256, 0.05
@@ -109,14 +115,14 @@ def fit(rows: list[tuple[str, int]], seed: int = 5) -> Model:
     rows = sorted(dict(rows).items())
     rnd.shuffle(rows)
     toxic, ordinary = [t for t, y in rows if y], [t for t, y in rows if not y]
-    if len(toxic) < 4 or len(ordinary) < 4:
+    if len(toxic) < LEAST_LABELLED or len(ordinary) < LEAST_LABELLED:
         return Model(b"", b"", [(len(toxic) + 1) / (len(rows) + 2) if rows else 0.0], [], [])
     own_toxic, own_ordinary = toxic[len(toxic) // 2 :], ordinary[len(ordinary) // 2 :]
     toxic, ordinary = toxic[: len(toxic) // 2], ordinary[: len(ordinary) // 2]
     sample = [w for t in ordinary for w in windows(t)]
     rnd.shuffle(sample)
     try:
-        content = zstandard.train_dictionary(DICTIONARY_BYTES, sample[:30_000]).as_bytes()
+        content = zstandard.train_dictionary(DICTIONARY_BYTES, sample[:MOST_WINDOWS]).as_bytes()
     except zstandard.ZstdError:  # too little text to train on
         content = b"".join(sample)[:DICTIONARY_BYTES]
     telling = b" ".join(_toxic_words(toxic, ordinary))
@@ -135,10 +141,11 @@ def fit(rows: list[tuple[str, int]], seed: int = 5) -> Model:
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Fit on the bounded sample of labelled rows that aren't held out."""
     usable = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).filter(F.col("id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("id")))
+    usable = usable.groupBy("id").agg(F.max("label").alias("label"))
     order = [F.xxhash64("id"), F.col("id")]
     picked = [usable.filter(F.col("label") == y).orderBy(*order).limit(n) for y, n in ((1, MOST_TOXIC), (0, MOST_ORDINARY))]
-    picked = F.broadcast(picked[0].unionByName(picked[1]).dropDuplicates(["id"]))  # bounded by the sample's size
-    texts = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")).join(picked, "id").filter(F.length("text") <= MOST_CHARS // 16)
+    picked = F.broadcast(picked[0].unionByName(picked[1]))  # bounded by the sample's size
+    texts = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")).join(picked, "id").filter(F.length("text") <= MOST_TRAINED)
     rows, chars = [], 0
     for r in texts.orderBy(*order).limit(MOST_TOXIC + MOST_ORDINARY).toLocalIterator():
         chars += len(r["text"])

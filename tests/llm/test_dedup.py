@@ -2,10 +2,12 @@
 
 import hashlib
 import random
+import re
 
 import pytest
+import xxhash
 
-from daymill.llm import simhash, substring
+from daymill.llm import similar, simhash, substring
 
 
 def table(spark, rows):
@@ -129,3 +131,24 @@ def test_cover_takes_any_two_positions_along():
     for a in range(substring.PERIOD):
         for b in range(substring.PERIOD):
             assert any((a + s) % substring.PERIOD in substring.COVER and (b + s) % substring.PERIOD in substring.COVER for s in range(substring.PERIOD))
+
+
+def plain_fingerprint(text, words):
+    w = ["".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in x) for x in re.findall("[^\x20\x09-\x0d]+", text)]
+    found = [" ".join(w[i : i + words]) for i in range(len(w) - words + 1)] if len(w) > words else [" ".join(w)] if w else []
+    h = [xxhash.xxh64(x.encode(), seed=42).intdigest() for x in found]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def test_fingerprints_by_the_rule():
+    texts = [t or "" for t in some_texts(80, 5)] + ["Ä É ı\x85x\u2003y a\x1cb", "A B", "a b c", "A b\tC\x0bd", "x " * 500]
+    assert [simhash.fingerprint(t) for t in texts] == [plain_fingerprint(t, 3) for t in texts]
+
+
+@pytest.mark.parametrize("operator", [simhash, similar])
+def test_one_id_on_two_texts(spark, operator):
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    rows = [(5, a, "x", "y"), (5, b, "x", "y"), (5, b, "x", "y"), (7, a, "x", "y"), (None, a, "x", "y"), (8, None, "x", "y"), (9, "", "x", "y")]
+    got = sorted(((r.doc_id, r.text) for r in operator.keep_one(table(spark, rows)).collect()), key=str)
+    assert got == sorted([(5, a), (5, b), (None, a), (8, None)], key=str)
+    assert operator.keep_one(table(spark, [])).count() == 0

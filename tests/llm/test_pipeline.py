@@ -1,5 +1,6 @@
 """The pipeline's stages against brute force on a small corpus, and its contract."""
 
+import hashlib
 from collections import Counter
 
 import corpus_pipeline as pipeline
@@ -7,7 +8,7 @@ import public_tokenizers
 import tiktoken
 
 from daymill.llm import bpe, mixing, secrets, toxicity
-from test_dedup import brute_components
+from test_similar import brute
 
 
 def test_stages_in_order(spark, sf_dir, tmp_path):
@@ -29,7 +30,7 @@ def test_stages_in_order(spark, sf_dir, tmp_path):
     assert sorted(r.doc_id for r in after) == sorted(wanted)
 
     before, after = seen["near_dedup"]
-    wanted = {c for _, _, c in brute_components([(r.doc_id, r.text) for r in before], words=5)}
+    wanted = {c for _, c in brute([(r.doc_id, r.text) for r in before])}
     assert sorted(r.doc_id for r in after) == sorted(wanted)
 
     before, after = seen["secrets"]
@@ -50,8 +51,10 @@ def test_stages_in_order(spark, sf_dir, tmp_path):
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), special_tokens={})
     wanted = {r.doc_id: library.encode_ordinary(r.text) for r in before}
     assert len(before) == len(after) and all(list(r.ids) == wanted[r.doc_id] and r.n_tokens == len(r.ids) for r in after)
+    digest = {r.doc_id: hashlib.sha256((r.text or "").encode()).hexdigest() for r in before}
+    assert all(r.decoded_sha256 == digest[r.doc_id] for r in after)
 
 
 def test_run_gives_every_row(spark, sf_dir):
     out = pipeline.run(spark, sf_dir)
-    assert out.columns == ["doc_id", "source", "n_tokens", "ids"] and out.count() > 0
+    assert out.columns == ["doc_id", "source", "n_tokens", "ids", "decoded_sha256"] and out.count() > 0

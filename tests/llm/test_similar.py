@@ -8,7 +8,8 @@ import pytest
 from daymill.llm import similar, simhash
 
 
-def brute(rows):
+def groups(rows):
+    """The indices of the rows of each component."""
     sets = [frozenset(simhash.shingles(t or "", 5)) for _, t in rows]
     parent = list(range(len(rows)))
 
@@ -22,10 +23,16 @@ def brute(rows):
             x = len(a & b)
             if a == b or (x and 5 * x >= 4 * (len(a) + len(b) - x)):
                 parent[root(i)] = root(j)
-    least = {}
-    for i, (d, _) in enumerate(rows):
-        least[root(i)] = min(least.get(root(i), d), d)
-    return sorted((d, least[root(i)]) for i, (d, _) in enumerate(rows))
+    out = {}
+    for i in range(len(rows)):
+        out.setdefault(root(i), []).append(i)
+    return list(out.values())
+
+
+def brute(rows):
+    found = [[rows[i][0] for i in g] for g in groups(rows)]
+    # a repeated id may be in several components; each of its rows has its own
+    return sorted((d, min(g)) for g in found for d in g)
 
 
 def edited_texts(seed):
@@ -73,6 +80,8 @@ def test_stage_removes_edited_copies(spark, sf_dir):
     docs = spark.createDataFrame([(d, t, "x") for d, t in rows], "doc_id long, text string, source string")
     out = pipeline.drop_near_copies(spark, docs, sf_dir)
     assert out.columns == docs.columns
-    wanted = {c for _, c in brute([r for r in rows if r[0] is not None])}
-    assert sorted(r.doc_id for r in out.collect() if r.doc_id is not None) == sorted(wanted)
+    named = [r for r in rows if r[0] is not None]
+    kept, found = [(r.doc_id, r.text) for r in out.collect() if r.doc_id is not None], groups(named)
+    assert sorted(d for d, _ in kept) == sorted(min(named[i][0] for i in g) for g in found)
+    assert all(sum((d, t) in kept for d, t in {named[i] for i in g}) == 1 for g in found)
     assert out.filter("doc_id IS NULL").count() == 1
