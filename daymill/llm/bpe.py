@@ -307,6 +307,26 @@ def _sent(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast((ranks, reachable(ranks)))
 
 
+def encode_and_decode(docs: DataFrame, path: str, pattern: str, text_col: str = "text") -> DataFrame:
+    """docs with ids and decoded_sha256: the token ids of each text, and the digest (lowercase hex) of what they decode to.
+
+    One worker does both, so that the vocabulary is held once. Existing columns of these names are replaced.
+    """
+    small_batches(docs.sparkSession)
+    ranks = _sent(docs.sparkSession, path)
+
+    @F.pandas_udf("ids array<int>, decoded_sha256 string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        codec = Codec(ranks.value[0], pattern, ranks.value[1])
+        for texts in batches:
+            ids = [codec.encode(t) for t in texts]
+            digests = [hashlib.sha256(codec.decode(i).encode("utf-8", "surrogatepass")).hexdigest() for i in ids]
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded_sha256": pd.Series(digests, dtype=object)})
+
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("ids", "decoded_sha256")]
+    return docs.select(*kept, run(text_or_empty(text_col)).alias("__mill_coded")).select(*kept, "__mill_coded.ids", "__mill_coded.decoded_sha256")
+
+
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", out_col: str = "ids") -> DataFrame:
     """docs with the token ids of each text; an existing column of that name is replaced.
 
