@@ -95,6 +95,20 @@ SELECT page_id, host, path, rule,
 FROM keyed LEFT JOIN fits USING (n)
 """
 
+OP5 = """
+WITH entries AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, max(CAST(list_inner_product(q.v, c.v) AS BIGINT)) AS score
+  FROM entries q JOIN entries c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v) GROUP BY ALL
+),
+ranked AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM pairs)
+SELECT * FROM ranked WHERE rank <= 20
+"""
+
 ORACLES: dict[str, str | None] = {
     "op3_url_filter": OP3,
+    "op5_maxscore": OP5,
 }
