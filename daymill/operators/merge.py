@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -30,10 +30,10 @@ def merge_by_precedence(df: DataFrame, key: str, day: str, source_date: str, ord
     rows of source dates further than spill days from their event day.
     """
     near = df.filter(F.col(day).isNotNull() & (F.abs(F.datediff(source_date, day)) <= spill))
-    group = Window.partitionBy(day, key)
-    chosen = group.orderBy(rank_of(F.col("source"), order), F.col(source_date))
-    ranked = near.withColumn("sources", F.array_sort(F.collect_set("source").over(group))).withColumn("__n", F.row_number().over(chosen))
-    return ranked.filter("__n = 1").drop("__n")
+    # aggregates, not windows: rows of one id and day are combined before the shuffle
+    first = F.min_by(F.struct(*near.columns), F.struct(rank_of(F.col("source"), order), F.col(source_date)))
+    merged = near.groupBy(F.col(day).alias("__day"), F.col(key).alias("__key")).agg(first.alias("__first"), F.array_sort(F.collect_set("source")).alias("sources"))
+    return merged.select("__first.*", "sources")
 
 
 def children_of_chosen(children: DataFrame, chosen: DataFrame, key: str, source_date: str = "source_date", day: str = "day") -> DataFrame:

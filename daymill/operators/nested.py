@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -27,13 +28,17 @@ def explode_two_levels(df: DataFrame, array: str, keys: list[str], fields: Mappi
 
     inner names the text field that holds the second level's JSON.
     """
-    top = explode_ordinal(df, array, keys, {**fields, "__inner": inner})
-    own = [k.split(".")[-1] for k in keys]
-    lower = top.select(*own, F.col("ordinal").alias("parent_ordinal"), F.from_json("__inner", inner_schema, {"mode": "FAILFAST"}).alias("a"))
-    lower = lower.select(*own, "parent_ordinal", F.posexplode("a").alias("ordinal", "e"))
-    lower = lower.select(*own, "parent_ordinal", (F.col("ordinal") + 1).alias("ordinal"), *[F.col(f"e.{path}").alias(name) for name, path in fields.items()])
-    top = top.select(*own, F.lit(None).cast("int").alias("parent_ordinal"), "ordinal", *fields)
-    return top.unionByName(lower)
+    def level(e: Column, parent: Column, ordinal: Column) -> Column:
+        own = [functools.reduce(Column.getField, path.split("."), e).alias(name) for name, path in fields.items()]
+        return F.struct(parent.cast("int").alias("parent_ordinal"), ordinal.alias("ordinal"), *own)
+
+    def both(e: Column, i: Column) -> Column:
+        top = F.array(level(e, F.lit(None), i + 1))
+        below = F.transform(F.from_json(e[inner], inner_schema, {"mode": "FAILFAST"}), lambda x, j: level(x, i + 1, j + 1))
+        return F.concat(top, F.coalesce(below, F.slice(top, 1, 0)))
+
+    own = [F.col(k).alias(k.split(".")[-1]) for k in keys]
+    return df.select(*own, F.inline(F.flatten(F.transform(F.col(array), both))))
 
 
 def too_deep(inner: Column, array: str) -> Column:

@@ -90,7 +90,7 @@ def _event_table(spark, sf_dir):
 
 @query("SELECT CAST(ts AS DATE) AS day, event_id, event_type FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'")
 def read_range(spark, sf_dir):
-    return files.read_table(spark, _event_table(spark, sf_dir), EVENT_DAYS, "day", "2024-01-05", "2024-01-20", ["day", "event_id", "event_type"])
+    return files.read_table(spark, _event_table(spark, sf_dir), EVENT_DAYS, "day", "2024-01-05", "2024-01-20", ["day", "event_id", "event_type"], ordered=True)
 
 
 FEED = "struct<sequence_id:bigint,user:bigint,kind:string>"

@@ -65,8 +65,10 @@ def read_json_array_lines(spark: SparkSession, path: str | list[str], schema: st
     return lines.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType, day: str, date_from=None, date_to=None, columns: list[str] | None = None) -> DataFrame:
-    """A range of a daily table, both days inclusive, in the contract's column order and ordered by day.
+def read_table(spark: SparkSession, path: str, schema: T.StructType, day: str, date_from=None, date_to=None, columns: list[str] | None = None, ordered: bool = False) -> DataFrame:
+    """A range of a daily table, both days inclusive, in the contract's column order; ordered by day if asked for.
+
+    Order costs a range shuffle, so it is for a client's edge and not for reads that go on to be aggregated or joined.
 
     An unknown column is an error; a table that was never written is empty.
     """
@@ -79,7 +81,7 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, day: str, d
         df = df.filter(F.col(day) >= F.lit(date_from).cast("date"))
     if date_to is not None:
         df = df.filter(F.col(day) <= F.lit(date_to).cast("date"))
-    return df.orderBy(day).select(*(columns or schema.names))
+    return (df.orderBy(day) if ordered else df).select(*(columns or schema.names))
 
 
 def read_feed(df: DataFrame, schema: str, column: str = "value", sequence: str = "sequence_id") -> DataFrame:
