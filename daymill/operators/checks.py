@@ -1,7 +1,7 @@
 """Consistency checks; each gives issues (dataset, object_key, kind, severity, detail).
 
 objects: (dataset, object_key, logical_date, status, current_revision, etag, expected_count, observed_count).
-revisions: (dataset, object_key, revision, sha256, raw_path, parser_version). partitions: (table_name, logical_date,
+revisions: (dataset, object_key, revision, sha256, raw_path, parser_version, observed_count). partitions: (table_name, logical_date,
 n_rows, dataset, object_key, revision, unknown_keys). Bounds of days are inclusive and go into each input.
 """
 
@@ -56,11 +56,14 @@ def check_missing_partition(objects: DataFrame, partitions: DataFrame, tables: d
     return issues(lost, "missing_partition", F.concat_ws(" ", "table_name", F.col("logical_date").cast("string")))
 
 
-def check_row_count(objects: DataFrame, partitions: DataFrame, first_table: dict[str, str]) -> DataFrame:
+def check_row_count(objects: DataFrame, revisions: DataFrame, partitions: DataFrame, first_table: dict[str, str]) -> DataFrame:
+    """Rows of the first table against the count of the revision that is live."""
     name = F.lit(None).cast("string")
     for dataset, table in first_table.items():
         name = F.when(F.col("dataset") == dataset, F.lit(table)).otherwise(name)
-    j = live(objects).withColumn("table_name", name).join(partitions.select("table_name", "logical_date", "n_rows"), ["table_name", "logical_date"])
+    r = revisions.select(*OBJECT, F.col("revision").alias("current_revision"), "observed_count")
+    own = live(objects).drop("observed_count").join(r, [*OBJECT, "current_revision"]).withColumn("table_name", name)
+    j = own.join(partitions.select("table_name", "logical_date", "n_rows"), ["table_name", "logical_date"])
     return issues(j.filter(~F.col("n_rows").eqNullSafe(F.col("observed_count"))), "row_count", F.concat(F.col("n_rows").cast("string"), F.lit(" rows, "), F.coalesce(F.col("observed_count").cast("string"), F.lit("none")), F.lit(" registered")))
 
 
@@ -105,9 +108,13 @@ def check_provisional(objects: DataFrame) -> DataFrame:
 
 
 def check_expected_count(objects: DataFrame, revisions: DataFrame) -> DataFrame:
-    """expected_count, or the note upstream_ahead where upstream serves another copy already."""
-    r = revisions.select(*OBJECT, F.col("revision").alias("current_revision"), "upstream_etag")
-    j = live(objects).join(r, [*OBJECT, "current_revision"], "left").filter("expected_count IS NOT NULL").filter(~F.col("expected_count").eqNullSafe(F.col("observed_count")))
+    """expected_count, or the note upstream_ahead where upstream serves another copy already.
+
+    Only imported objects: of a provisional one it is known that an older copy is live.
+    """
+    r = revisions.select(*OBJECT, F.col("revision").alias("current_revision"), "upstream_etag", "observed_count")
+    own = objects.filter("status = 'imported'").drop("observed_count")
+    j = own.join(r, [*OBJECT, "current_revision"]).filter("expected_count IS NOT NULL").filter(~F.col("expected_count").eqNullSafe(F.col("observed_count")))
     ahead = ~F.col("etag").eqNullSafe(F.col("upstream_etag"))
     detail = F.concat(F.lit("expected "), F.col("expected_count").cast("string"), F.lit(", observed "), F.coalesce(F.col("observed_count").cast("string"), F.lit("none")))
     return issues(j.filter(~ahead), "expected_count", detail).unionByName(issues(j.filter(ahead), "upstream_ahead", detail))
@@ -144,9 +151,55 @@ def day_counts(df: DataFrame, key: str, time: str) -> DataFrame:
     return df.groupBy(F.to_date(time).alias("day")).agg(F.count("*").alias("n_rows"), F.countDistinct(key).alias("n_ids"))
 
 
-def report(parts: list[DataFrame]) -> DataFrame:
-    """(kind, severity, n) over several checks."""
+def verify(objects: DataFrame, revisions: DataFrame, partitions: DataFrame, files: DataFrame, hashes: DataFrame, tables: dict[str, list[str]], date_from=None, date_to=None) -> DataFrame:
+    """The issues of all checks of datasets over a range of days; orphans only without a range.
+
+    files: (raw_path) that are there; hashes: (raw_path, sha256, unzipped_sha256) of those to be compared. An object
+    whose live revision is absent is reported as that and not held against its partitions.
+    """
+    o, p = in_range(objects, date_from, date_to), in_range(partitions, date_from, date_to)
+    known = o.join(revisions.select(*OBJECT, F.col("revision").alias("current_revision")), [*OBJECT, "current_revision"], "left_semi")
+    parts = [
+        check_failed_object(o),
+        check_missing_revision(o, revisions),
+        check_missing_partition(known, p, tables),
+        check_row_count(o, revisions, p, {d: own[0] for d, own in tables.items()}),
+        check_unknown_keys(p),
+        check_stale_partition(o, p),
+        check_missing_raw(o, revisions, files),
+        check_raw_hash(o, revisions, hashes),
+        check_provisional(o),
+        check_expected_count(o, revisions),
+    ]
+    if date_from is None and date_to is None:
+        parts.append(check_orphan_partition(objects, partitions))
+    return _union(parts)
+
+
+def verify_merged(sources: DataFrame, merged: DataFrame, key: str, day: str, source_day: str, daily: list[str], dataset: str, date_from=None, date_to=None) -> DataFrame:
+    """The issues of the merged layer over a range of days."""
+    m = in_range(merged, date_from, date_to, day)
+    return _union([
+        check_duplicate(m, key, day, dataset),
+        check_merged_short(in_range(sources, date_from, date_to, day), m, key, day, dataset),
+        check_source_lacks_day(in_range(sources, date_from, date_to, source_day), source_day, daily, dataset),
+    ])
+
+
+def checked(objects: DataFrame, hashes: DataFrame, date_from=None, date_to=None) -> DataFrame:
+    """(n_objects, n_hashed): objects that are live in a range, and files hashed."""
+    counted = live(in_range(objects, date_from, date_to)).agg(F.count("*").alias("n_objects"))
+    both = counted.unionByName(hashes.agg(F.count("*").alias("n_hashed")), allowMissingColumns=True)
+    return both.agg(F.max("n_objects").alias("n_objects"), F.max("n_hashed").alias("n_hashed"))
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.groupBy("kind", "severity").agg(F.count("*").alias("n"))
+    return out
+
+
+def report(parts: list[DataFrame]) -> DataFrame:
+    """(kind, severity, n) over several checks."""
+    return _union(parts).groupBy("kind", "severity").agg(F.count("*").alias("n"))

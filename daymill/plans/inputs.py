@@ -143,6 +143,7 @@ def revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((F.col("d") == 8) & (F.col("revision") == F.col("current_revision")), "other").otherwise(F.col("etag")).alias("upstream_etag"),
         F.when(F.col("d") < 12, 1).otherwise(2).alias("parser_version"),
         F.when(~F.col("d").isin(3, 6), F.expr("date_add(logical_date, 1 + revision)")).cast("timestamp_ntz").alias("imported_at"), "d",
+        F.when(F.col("revision") == F.col("current_revision"), F.col("observed_count")).otherwise(F.col("observed_count") - 1).alias("observed_count"),
     )
 
 
@@ -164,7 +165,7 @@ obj AS (
 rev AS (
   SELECT dataset, object_key, revision, sha256('raw/' || object_key || '.' || revision) AS sha256, CASE WHEN d % 7 <> 0 THEN 'raw/' || object_key || '.' || revision END AS raw_path,
     CASE WHEN d = 8 AND revision = current_revision THEN 'other' ELSE etag END AS upstream_etag, CASE WHEN d < 12 THEN 1 ELSE 2 END AS parser_version,
-    CASE WHEN d NOT IN (3, 6) THEN CAST(logical_date + 1 + revision AS TIMESTAMP) END AS imported_at, d
+    CASE WHEN d NOT IN (3, 6) THEN CAST(logical_date + 1 + revision AS TIMESTAMP) END AS imported_at, d, CASE WHEN revision = current_revision THEN observed_count ELSE observed_count - 1 END AS observed_count
   FROM (SELECT *, CAST(unnest(generate_series(1, current_revision)) AS INT) AS revision FROM obj) WHERE NOT (d = 11 AND revision = current_revision)
 ),
 part_ AS (

@@ -141,9 +141,9 @@ def check_missing_partition(spark, sf_dir):
     return checks.check_missing_partition(O(spark, sf_dir), P(spark, sf_dir), TABLES)
 
 
-@query(f"{W} {_issue('row_count', '''p.n_rows || ' rows, ' || l.observed_count || ' registered' ''', '''live l JOIN part_ p ON p.table_name = 'facts' AND p.logical_date = l.logical_date WHERE p.n_rows <> l.observed_count''', key='l.object_key', dataset='l.dataset')}")
+@query(f"{W} {_issue('row_count', '''p.n_rows || ' rows, ' || r.observed_count || ' registered' ''', '''live l JOIN rev r ON l.object_key = r.object_key AND l.current_revision = r.revision JOIN part_ p ON p.table_name = 'facts' AND p.logical_date = l.logical_date WHERE p.n_rows <> r.observed_count''', key='l.object_key', dataset='l.dataset')}")
 def check_row_count(spark, sf_dir):
-    return checks.check_row_count(O(spark, sf_dir), P(spark, sf_dir), FIRST)
+    return checks.check_row_count(O(spark, sf_dir), R(spark, sf_dir), P(spark, sf_dir), FIRST)
 
 
 @query(f"{W} {_issue('unknown_keys', 'unknown_keys', '''part_ WHERE unknown_keys <> '' ''')}")
@@ -163,9 +163,11 @@ def check_missing_raw(spark, sf_dir):
 
 @query(f"{W} {_issue('raw_hash', 'r.raw_path', 'live l JOIN rev r ON l.object_key = r.object_key AND l.current_revision = r.revision WHERE r.raw_path IS NOT NULL AND l.d % 8 = 1', key='l.object_key', dataset='l.dataset')}")
 def check_raw_hash(spark, sf_dir):
-    r = R(spark, sf_dir)
-    hashes = r.select("raw_path", F.when(F.col("d") % 8 == 1, F.lit("x")).when(F.col("d") % 8 == 2, F.lit("zipped")).otherwise(F.col("sha256")).alias("sha256"), F.when(F.col("d") % 8 == 2, F.col("sha256")).alias("unzipped_sha256"))
-    return checks.check_raw_hash(O(spark, sf_dir), r, hashes)
+    return checks.check_raw_hash(O(spark, sf_dir), R(spark, sf_dir), _hashes(spark, sf_dir))
+
+
+def _hashes(spark, sf_dir):
+    return R(spark, sf_dir).select("raw_path", F.when(F.col("d") % 8 == 1, F.lit("x")).when(F.col("d") % 8 == 2, F.lit("zipped")).otherwise(F.col("sha256")).alias("sha256"), F.when(F.col("d") % 8 == 2, F.col("sha256")).alias("unzipped_sha256"))
 
 
 @query(f"{W} {_issue('provisional', chr(39) + 'an older copy is live' + chr(39), 'obj WHERE d = 4', 'note')}")
@@ -174,7 +176,7 @@ def check_provisional(spark, sf_dir):
 
 
 @query(f"""{W} SELECT l.dataset, l.object_key, CASE WHEN l.etag IS DISTINCT FROM r.upstream_etag THEN 'upstream_ahead' ELSE 'expected_count' END AS kind, CASE WHEN l.etag IS DISTINCT FROM r.upstream_etag THEN 'note' ELSE 'issue' END AS severity,
-  'expected ' || expected_count || ', observed ' || observed_count AS detail FROM live l LEFT JOIN rev r ON l.object_key = r.object_key AND l.current_revision = r.revision WHERE expected_count IS NOT NULL AND expected_count <> observed_count""")
+  'expected ' || expected_count || ', observed ' || r.observed_count AS detail FROM obj l JOIN rev r ON l.object_key = r.object_key AND l.current_revision = r.revision WHERE l.status = 'imported' AND expected_count <> r.observed_count""")
 def check_expected_count(spark, sf_dir):
     return checks.check_expected_count(O(spark, sf_dir), R(spark, sf_dir))
 
@@ -209,11 +211,24 @@ def day_counts(spark, sf_dir):
     return checks.day_counts(table(spark, sf_dir, "events"), "user_id", "ts")
 
 
-@query(f"""{W}, o AS (SELECT * FROM obj WHERE logical_date BETWEEN DATE '2024-01-03' AND DATE '2024-01-20') SELECT 'failed_object' AS kind, 'issue' AS severity, CAST(count(*) AS BIGINT) AS n FROM o WHERE status = 'failed' HAVING count(*) > 0
-UNION ALL SELECT 'provisional', 'note', CAST(count(*) AS BIGINT) FROM o WHERE status = 'provisional' HAVING count(*) > 0""")
+REPORTED = ["failed_object", "missing_revision", "missing_partition", "row_count", "unknown_keys", "stale_partition", "missing_raw", "raw_hash", "provisional", "expected_count", "merged_short", "source_lacks_day"]
+_ALL_DAYS = ORACLES["check_source_lacks_day"].replace(" AND NOT (source = 'a' AND day(source_date) % 7 = 0)", "")
+_ISSUES = " UNION ALL ".join(f"SELECT * FROM ({_ALL_DAYS if k == 'source_lacks_day' else ORACLES['check_' + k]})" for k in REPORTED)
+
+
+@query(f"SELECT kind, severity, CAST(count(*) AS BIGINT) AS n FROM ({_ISSUES}) WHERE right(object_key, 10) BETWEEN '2024-01-03' AND '2024-01-20' GROUP BY ALL")
 def check_report(spark, sf_dir):
-    o = checks.in_range(O(spark, sf_dir), "2024-01-03", "2024-01-20")
-    return checks.report([checks.check_failed_object(o), checks.check_provisional(o)])
+    days = ("2024-01-03", "2024-01-20")
+    s = three_sources(spark, sf_dir)
+    m = merge.merge_by_precedence(s, "event_id", "day", "source_date", ORDER_OF_SOURCES).filter("event_id % 3 <> 1")
+    r = R(spark, sf_dir)
+    of_datasets = checks.verify(O(spark, sf_dir), r, P(spark, sf_dir), r.filter("d % 9 <> 0").select("raw_path"), _hashes(spark, sf_dir), TABLES, *days)
+    return checks.report([of_datasets, checks.verify_merged(s, m, "event_id", "day", "source_date", ["a", "b"], "merged", *days)])
+
+
+@query(f"{W} SELECT CAST(count(*) AS BIGINT) AS n_objects, (SELECT CAST(count(*) AS BIGINT) FROM rev WHERE raw_path IS NOT NULL) AS n_hashed FROM live WHERE logical_date >= DATE '2024-01-10'")
+def check_counts(spark, sf_dir):
+    return checks.checked(O(spark, sf_dir), _hashes(spark, sf_dir).filter("raw_path IS NOT NULL"), "2024-01-10")
 
 
 @query("SELECT CAST(ts AS DATE) AS day, CAST(count(*) AS BIGINT) AS n_rows FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-08' GROUP BY 1")
