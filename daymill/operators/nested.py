@@ -60,6 +60,12 @@ def assert_max_depth(df: DataFrame, array: str, inner: str) -> DataFrame:
     return df.filter(F.when(F.coalesce(total, F.lit(0)) > 0, F.raise_error(F.concat(F.lit("third level in "), total.cast("string"), F.lit(" places")))).otherwise(F.lit(True)).cast("boolean"))
 
 
+def unknown_keys_by_day(df: DataFrame, objects: Column, known: list[str], day: str) -> DataFrame:
+    """(day, unknown_keys): the keys of JSON objects (an array of them a row) that the contract doesn't know, sorted, for the manifest."""
+    each = df.select(day, F.explode(objects).alias("o")).select(day, F.explode(F.json_object_keys("o")).alias("k"))
+    return each.filter(~F.col("k").isin(known)).groupBy(day).agg(F.sort_array(F.collect_set("k")).alias("unknown_keys"))
+
+
 def unknown_keys(df: DataFrame, scopes: Mapping[str, Column], expected: Mapping[str, list[str]]) -> DataFrame:
     """(scope, key, documents): keys of JSON objects that aren't expected, by scope; reported, not fatal.
 

@@ -36,15 +36,18 @@ def write_days(df: DataFrame, path: str, schema: T.StructType, day: str, keys: l
             gone.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(gone, True)
 
 
-def manifest_rows(written: DataFrame, table: str, day: str, dataset: str, revision: int, parser_version: int, built: DataFrame | None = None) -> DataFrame:
-    """(table_name, day, n_rows, dataset, object_key, revision, parser_version, built_from) of each day written; append these."""
+def manifest_rows(written: DataFrame, table: str, day: str, dataset: str, revision: int, parser_version: int, built: DataFrame | None = None, unknown: DataFrame | None = None, hashes: DataFrame | None = None) -> DataFrame:
+    """(table_name, day, n_rows, dataset, object_key, revision, sha256, parser_version, written_at, unknown_keys, built_from)
+    of each day written; append these.
+
+    built: (day, built_from) of merged days; unknown: (day, unknown_keys array) where documents drifted; hashes: (day,
+    sha256) of the files that days came from. Days that they lack get null, and no unknown keys.
+    """
     out = written.groupBy(day).agg(F.count("*").alias("n_rows"))
-    if built is not None:
-        out = out.join(built, day, "left")
-    else:
-        out = out.withColumn("built_from", F.lit(None).cast("string"))
+    for name, kind, given in (("built_from", "string", built), ("unknown_keys", "array<string>", unknown), ("sha256", "string", hashes)):
+        out = out.withColumn(name, F.lit(None).cast(kind)) if given is None else out.join(given.select(day, name), day, "left")
     key = F.concat(F.date_format(day, "yyyy"), F.lit("/"), F.col(day).cast("string"))
-    return out.select(F.lit(table).alias("table_name"), day, "n_rows", F.lit(dataset).alias("dataset"), key.alias("object_key"), F.lit(revision).alias("revision"), F.lit(parser_version).alias("parser_version"), "built_from")
+    return out.select(F.lit(table).alias("table_name"), day, "n_rows", F.lit(dataset).alias("dataset"), key.alias("object_key"), F.lit(revision).alias("revision"), "sha256", F.lit(parser_version).alias("parser_version"), F.current_timestamp().alias("written_at"), F.coalesce("unknown_keys", F.expr("CAST(array() AS array<string>)")).alias("unknown_keys"), "built_from")
 
 
 def partition_stats(spark: SparkSession, path: str, day: str) -> DataFrame:

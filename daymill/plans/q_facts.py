@@ -70,6 +70,16 @@ def src_json_map(spark, sf_dir):
     return j.select(F.col("id").cast("bigint").alias("id"), F.get_json_object("doc", "$.cust").cast("bigint").alias("cust"), "hash")
 
 
+@query("SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey FROM customer")
+def src_json_array_any(spark, sf_dir):
+    """Arrays whose records run over several lines, several to a file."""
+    path = folder(spark, "arrays")
+    record = F.replace(F.to_json(F.struct("c_custkey", "c_name", "c_nationkey")), F.lit(","), F.lit(",\n  "))
+    body = table(spark, sf_dir, "customer").groupBy(F.expr("c_custkey div 100").alias("k")).agg(F.array_join(F.collect_list(record), ",").alias("r"))
+    body.select("k", F.concat(F.lit("[\n"), "r", F.lit("]")).alias("value")).repartition("k").write.partitionBy("k").option("lineSep", "\n").text(path)
+    return files.read_json_array(spark, path, "c_custkey bigint, c_name string, c_nationkey bigint")
+
+
 @query("SELECT c_custkey, c_name, c_mktsegment FROM customer")
 def src_json_array(spark, sf_dir):
     path = folder(spark, "array")
@@ -119,6 +129,13 @@ def page_links(spark, sf_dir):
     return listings.extract_links(table(spark, sf_dir, "pages").select("page_id", "html"))
 
 
+@query("SELECT c_custkey // 100 AS page, c_custkey AS id FROM customer WHERE c_custkey % 7 > 1 AND c_custkey > 0")
+def page_ids(spark, sf_dir):
+    id_ = F.when(F.col("c_custkey") % 7 == 0, F.lit("x")).when(F.col("c_custkey") % 7 == 1, (-F.col("c_custkey")).cast("string")).otherwise(F.col("c_custkey").cast("string"))
+    pages = table(spark, sf_dir, "customer").groupBy(F.expr("c_custkey div 100").alias("page")).agg(F.to_json(F.struct(F.collect_list(id_).alias("ids"))).alias("body"))
+    return listings.parse_pages(pages)
+
+
 def _day_counts(spark, sf_dir):
     return table(spark, sf_dir, "orders").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count("*").alias("n"))
 
@@ -322,10 +339,14 @@ def partition_stats(spark, sf_dir):
     return sinks.partition_stats(spark, _event_table(spark, sf_dir), "day")
 
 
-@query("SELECT 'events' AS table_name, CAST(ts AS DATE) AS day, CAST(count(*) AS BIGINT) AS n_rows, 'events' AS dataset, strftime(CAST(ts AS DATE), '%Y') || '/' || CAST(ts AS DATE) AS object_key, 1 AS revision, 3 AS parser_version FROM events GROUP BY ALL")
+@query("SELECT 'events' AS table_name, CAST(ts AS DATE) AS day, CAST(count(*) AS BIGINT) AS n_rows, 'events' AS dataset, strftime(CAST(ts AS DATE), '%Y') || '/' || CAST(ts AS DATE) AS object_key, 1 AS revision, sha256(string_agg(event_id, ',' ORDER BY event_id)) AS sha256, 3 AS parser_version, CASE WHEN bool_or(event_id % 2 = 1) THEN 'k,odd' ELSE 'k' END AS unknown_keys FROM events GROUP BY 2")
 def manifest(spark, sf_dir):
     e = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
-    return sinks.manifest_rows(e, "events", "day", "events", 1, 3).drop("built_from")
+    keys = F.array("props", F.when(F.col("event_id") % 2 == 1, F.lit('{"odd":1,"known":2}')))
+    unknown = nested.unknown_keys_by_day(e, keys, ["known"], "day")
+    hashes = e.groupBy("day").agg(F.sha2(F.array_join(F.sort_array(F.collect_list("event_id")), ",").cast("binary"), 256).alias("sha256"))
+    rows_ = sinks.manifest_rows(e, "events", "day", "events", 1, 3, unknown=unknown, hashes=hashes)
+    return rows_.withColumn("unknown_keys", F.array_join("unknown_keys", ",")).drop("built_from", "written_at")
 
 
 @query("SELECT CAST(4 AS BIGINT) AS n_files, CAST(count(*) AS BIGINT) AS n_rows FROM customer")

@@ -8,6 +8,7 @@ import tarfile
 from collections.abc import Iterator
 
 import pandas as pd
+from pyarrow.fs import FileSystem, LocalFileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +45,9 @@ def unpack_json(files: DataFrame, suffix: str = ".json") -> DataFrame:
 def read_tar_members(spark: SparkSession, paths: list[str], names: list[str]) -> DataFrame:
     """(path, member, line): the lines of named members; each task streams archives by path, never whole.
 
+    Paths are local or URIs of a store that Arrow's file systems open (file, s3, gs, hdfs, abfs); those that only
+    Spark's readers open go through unpack_members().
+
     A member that is missing or whose base name comes twice is an error.
     """
     rows = spark.createDataFrame([(p,) for p in paths], "path string").repartition(len(paths) or 1, "path")
@@ -51,7 +55,8 @@ def read_tar_members(spark: SparkSession, paths: list[str], names: list[str]) ->
     def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path in batch["path"]:
-                with open(path.removeprefix("file:"), "rb") as f:
+                store, inside = FileSystem.from_uri(path) if ":/" in path else (LocalFileSystem(), path)
+                with store.open_input_stream(inside, compression=None) as f:
                     yield from _lines(path, f, names)
 
     return rows.mapInPandas(stream, "path string, member string, line string")

@@ -45,6 +45,7 @@ def test_archives(spark, tmp_path):
     docs = sorted(r.doc for r in archives.read_tar_json(spark, str(path)).collect())
     assert docs == ['{"x": 1}', '{"x": 2}']
     lines = archives.read_tar_members(spark, [str(path)], ["note.txt"]).collect()
+    assert [r.line for r in archives.read_tar_members(spark, [path.as_uri()], ["note.txt"]).collect()] == [r.line for r in lines]
     assert [(r.member, r.line) for r in lines] == [("note.txt", "hi")]
     with pytest.raises(Exception, match="lacks"):
         archives.read_tar_members(spark, [str(path)], ["none.txt"]).collect()
@@ -164,6 +165,32 @@ def test_hashes_of_zipped_files(spark, tmp_path):
     assert got["a.gz"].unzipped_sha256 == want == got["b"].sha256 and got["b"].unzipped_sha256 is None
 
 
+def test_verify_of_a_range(spark):
+    o = spark.createDataFrame(
+        [("d", "k1", dt.date(2024, 1, 1), "imported", 2, "e", 5, 5), ("d", "k2", dt.date(2024, 1, 2), "provisional", 1, "e", 9, 4), ("d", "k3", dt.date(2024, 1, 3), "imported", 7, "e", None, 1), ("d", "k4", dt.date(2024, 1, 4), "failed", None, "e", None, None)],
+        "dataset string, object_key string, logical_date date, status string, current_revision int, etag string, expected_count long, observed_count long",
+    )
+    r = spark.createDataFrame([("d", "k1", 1, "s", "p1", "e", 5), ("d", "k1", 2, "s", "p2", "e", 3), ("d", "k2", 1, "s", "p3", "e", 4)], "dataset string, object_key string, revision int, sha256 string, raw_path string, upstream_etag string, observed_count long")
+    p = spark.createDataFrame([("t", dt.date(2024, 1, 1), 5, "d", "k1", 1, ["x"]), ("t", dt.date(2024, 1, 2), 4, "d", "k2", 1, []), ("t", dt.date(2023, 1, 1), 4, "d", "old", 1, [])], "table_name string, logical_date date, n_rows long, dataset string, object_key string, revision int, unknown_keys array<string>")
+    there = spark.createDataFrame([("p2",)], "raw_path string")
+    hashes = there.select("raw_path", F.lit("other").alias("sha256"), F.lit(None).cast("string").alias("unzipped_sha256"))
+    found = lambda *days: sorted((x.object_key, x.kind) for x in checks.verify(o, r, p, there, hashes, {"d": ["t"]}, *days).collect())
+    first_day = [("k1", "expected_count"), ("k1", "raw_hash"), ("k1", "row_count"), ("k1", "stale_partition"), ("k1", "unknown_keys")]
+    rest = [("k2", "missing_raw"), ("k2", "provisional"), ("k3", "missing_revision"), ("k4", "failed_object")]
+    assert found() == sorted([*first_day, *rest, ("old", "orphan_partition")])
+    assert found("2024-01-01", "2024-01-01") == first_day
+    assert found("2024-01-02") == rest
+    assert tuple(checks.checked(o, hashes, "2024-01-02").first()) == (2, 1)
+
+
+def test_manifest_without_drift(spark):
+    df = spark.createDataFrame([(dt.date(2024, 1, 1), 1), (dt.date(2024, 1, 2), 2)], "day date, id int")
+    unknown = spark.createDataFrame([(dt.date(2024, 1, 2), ["a"])], "day date, unknown_keys array<string>")
+    got = sinks.manifest_rows(df, "t", "day", "d", 1, 3, unknown=unknown).orderBy("day").collect()
+    assert [(r.n_rows, r.unknown_keys, r.sha256, r.built_from) for r in got] == [(1, [], None, None), (1, ["a"], None, None)]
+    assert all(r.written_at for r in got)
+
+
 def test_budget_is_used_up_beyond_a_page(spark):
     now = dt.datetime(2024, 1, 1)
     queue = spark.range(12_000).select(F.lit("a").alias("kind"), F.col("id").alias("entity_id"), F.lit(1).alias("priority"), F.lit(None).cast("timestamp").alias("last_refreshed_at"), F.lit(now).alias("next_due_at"))
