@@ -23,17 +23,27 @@ def write_days(df: DataFrame, path: str, schema: T.StructType, day: str, keys: l
     days: those that this call is about; each of them without rows is emptied. files: how many a day is split over,
     for days too large for one task (by ranges of the first key).
     """
-    spark = df.sparkSession
+    held = {d: _files(df.sparkSession, f"{path}/{day}={d.isoformat()}") for d in set(days or ())}
     rows = to_contract(df, schema)
     placed = rows.repartition(day) if files == 1 else rows.repartition(day, F.pmod(F.xxhash64(keys[0]), F.lit(files)))
     written = placed.sortWithinPartitions(day, *[F.col(k).asc_nulls_first() for k in keys])
     written.write.partitionBy(day).mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").parquet(path)
-    if days is not None:
-        had = {r[0] for r in rows.select(day).distinct().collect()}
-        jvm = spark.sparkContext._jvm
-        for d in sorted(set(days) - had):
-            gone = jvm.org.apache.hadoop.fs.Path(f"{path}/{day}={d.isoformat()}")
-            gone.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(gone, True)
+    for d, names in held.items():  # a day that got rows has other files now
+        folder = f"{path}/{day}={d.isoformat()}"
+        if names and _files(df.sparkSession, folder) == names:
+            store, at = _store(df.sparkSession, folder)
+            store.delete(at, True)
+
+
+def _store(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def _files(spark: SparkSession, path: str) -> set[str]:
+    """The names of the files in a day's folder; none if it isn't there."""
+    store, at = _store(spark, path)
+    return {f.getPath().getName() for f in store.listStatus(at)} if store.exists(at) else set()
 
 
 def manifest_rows(written: DataFrame, table: str, day: str, dataset: str, revision: int, parser_version: int, built: DataFrame | None = None, unknown: DataFrame | None = None, hashes: DataFrame | None = None) -> DataFrame:

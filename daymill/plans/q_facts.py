@@ -411,6 +411,34 @@ def live_flush_replay(spark, sf_dir):
     return _flushed(spark, sf_dir, 2)
 
 
+ITEMS = T.StructType([T.StructField("key", T.StringType()), T.StructField("ordinal", T.IntegerType()), T.StructField("amount", T.LongType()), T.StructField("day", T.DateType())])
+
+
+@query(f"WITH x AS ({_LIVE_SQL}), m AS (SELECT day, CAST(count(*) AS BIGINT) AS n_objects FROM x GROUP BY 1) SELECT key, day, CAST(o AS INT) AS ordinal, sequence_id * 10 + o AS amount, n_objects FROM x JOIN m USING (day), (VALUES (1), (2)) t(o) WHERE o <= sequence_id % 3")
+def live_flush_children(spark, sf_dir):
+    """Objects with items, flushed into two tables, and a count of each touched day written after each batch."""
+    source, path = folder(spark, "feed"), folder(spark, "live")
+    n_items = F.col("sequence_id") % 3
+    e = _feed(spark, sf_dir).withColumn("key", F.concat_ws("/", "key", F.col("day").cast("string")))
+    e = e.withColumn("items", F.slice(F.array(*[F.col("sequence_id") * 10 + i for i in (1, 2)]), F.lit(1), n_items.cast("int")))
+    e.select(F.to_json(F.struct("key", "sequence_id", "value", "day", "items")).alias("value")).repartitionByRange(6, F.get_json_object("value", "$.sequence_id").cast("bigint")).write.text(source)
+
+    def items(objects):
+        return objects.select("key", "day", F.posexplode("items").alias("i", "amount")).withColumn("ordinal", (F.col("i") + 1).cast("int"))
+
+    counts = T.StructType([T.StructField("n_objects", T.LongType()), T.StructField("day", T.DateType())])
+
+    def merge_days(spark, days):
+        live = files.read_table(spark, f"{path}/objects", LIVE, "day").join(days, "day", "left_semi")
+        sinks.write_days(live.groupBy("day").agg(F.count("*").alias("n_objects")), f"{path}/merged", counts, "day", ["n_objects"])
+
+    flush = feed.LiveFlush(f"{path}/objects", LIVE, "key", "sequence_id", "day", after=merge_days, children=[feed.Child(f"{path}/items", ITEMS, ["key", "ordinal"], items)])
+    line = LIVE_LINE.replace(">", ",items:array<bigint>>")
+    flush.start(feed.feed_lines(spark, source, 3), lambda lines: feed.parsed_feed(lines, line, "sequence_id"), folder(spark, "checkpoint"), every=None).awaitTermination()
+    merged = files.read_table(spark, f"{path}/merged", counts, "day")
+    return files.read_table(spark, f"{path}/items", ITEMS, "day").join(merged, "day").select("key", "day", "ordinal", "amount", "n_objects")
+
+
 @query("SELECT event_id - 1 AS after, event_id + 1 AS before, CAST(1 AS BIGINT) AS missing FROM events WHERE event_id % 7 = 3 AND event_id < (SELECT max(event_id) FROM events)")
 def sequence_gaps(spark, sf_dir):
     holes = _feed(spark, sf_dir).filter("sequence_id % 7 <> 3")  # the gaps to be found

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import dataclasses
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.sinks import write_days
-from ..sources.files import read_feed
+from ..sources.files import read_feed, read_table
 
 
 def newest_per_key(df: DataFrame, keys: list[str], sequence: str, fetched: str | None = None) -> DataFrame:
@@ -62,14 +63,27 @@ def feed_status(df: DataFrame, sequence: str, uploaded: str, fetched: str) -> Da
     return df.groupBy(F.to_date(fetched).alias("day")).agg(F.count("*").alias("n_objects"), F.max(sequence).alias("newest_sequence"), F.max(uploaded).alias("last_upload"), F.round(lag, 3).alias("lag_s"))
 
 
+@dataclasses.dataclass(frozen=True)
+class Child:
+    """A daily table of rows below the objects: rows() gives them, with the object's key and day, of a batch's objects."""
+
+    path: str
+    schema: T.StructType
+    order: list[str]
+    rows: Callable[[DataFrame], DataFrame]
+
+
 class LiveFlush:
     """A feed stream's batches into a daily table: newest per id, replaced inside its days, then what follows them.
 
     process() is a foreachBatch function. A batch may come again after a failure: rows already stored with the same or
-    a higher sequence stay, so the table ends up the same. Only the days of the batch are read and rewritten.
+    a higher sequence stay, so the table ends up the same. Only the days of the batch are read and rewritten. Children of
+    replaced objects go and the new object's come; they are written before the objects, so that a batch that failed in
+    between is done anew as a whole. ``after`` gets the touched days, for instance to merge them.
     """
 
-    def __init__(self, path: str, schema: T.StructType, key: str, sequence: str, day: str, fetched: str | None = None, after: Callable[[SparkSession, DataFrame], None] | None = None) -> None:
+    def __init__(self, path: str, schema: T.StructType, key: str, sequence: str, day: str, fetched: str | None = None, after: Callable[[SparkSession, DataFrame], None] | None = None, children: Sequence[Child] = ()) -> None:
+        self.children = children
         self.path, self.schema, self.key, self.sequence, self.day, self.fetched, self.after = path, schema, key, sequence, day, fetched, after
         self.skipped = 0
 
@@ -81,9 +95,16 @@ class LiveFlush:
             self.skipped += counts[0]
             if not counts[1]:
                 return
-            incoming = newest_per_key(marked.filter("usable"), [self.key], self.sequence, self.fetched).select(*self.schema.names)
+            newest = newest_per_key(marked.filter("usable"), [self.key], self.sequence, self.fetched)
+            incoming = newest.select(*self.schema.names)
             days = [r[0] for r in incoming.select(self.day).distinct().collect()]  # days of one batch
             stored = self.stored(spark).filter(F.col(self.day).isin(days))
+            before = stored.select(self.key, F.col(self.sequence).alias("__before"))
+            replaced = newest.join(before, self.key, "left").filter(F.col("__before").isNull() | (F.col(self.sequence) >= F.col("__before"))).drop("__before")
+            for c in self.children:
+                own = read_table(spark, c.path, c.schema, self.day).filter(F.col(self.day).isin(days))
+                rows = replace_children(own, c.rows(replaced).select(*c.schema.names), replaced, [self.key])
+                write_days(rows, c.path, c.schema, self.day, c.order, days)
             write_days(replace_keys(stored, incoming, [self.key], self.sequence, [self.key]), self.path, self.schema, self.day, [self.key])
             if self.after:
                 self.after(spark, spark.createDataFrame([(d,) for d in days], f"{self.day} date"))
@@ -91,8 +112,6 @@ class LiveFlush:
             marked.unpersist()
 
     def stored(self, spark: SparkSession) -> DataFrame:
-        from ..sources.files import read_table
-
         return read_table(spark, self.path, self.schema, self.day)
 
     def start(self, lines: DataFrame, parse: Callable[[DataFrame], DataFrame], checkpoint: str, every: str | None = "30 seconds"):
