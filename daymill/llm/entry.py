@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, divergence, forest, gnat, maxscore, mixing, pii, secrets, simhash, substring, toxicity, urlfilter
+from . import bpe, divergence, forest, gnat, maxscore, mixing, pii, secrets, simhash, substring, suffix, toxicity, urlfilter
 from ._common import read_table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -65,6 +65,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gnat.mine(vectors.withColumn("label", relabelled), F.col("vec_id") % 100 == 0)
 
 
+def op12_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.deduplicate_digests(read_table(spark, sf_dir, "documents"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(read_table(spark, sf_dir, "documents"))
 
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_simhash": op10_simhash,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_suffix_array": op12_suffix_array,
     "op13_source_divergence": op13_source_divergence,
 }
 
