@@ -11,7 +11,7 @@ becomes a row. A term that a group lacks has the group's zero baseline b = 1 + f
 posting; so what is accumulated is |p - p'| - |p - b'| - |b - p'| + |b - b'| for terms that both have, to which come
 |p - b'| - |b - b'| over the own terms of either, from sorted shares and their prefix sums, and V |b - b'|.
 
-The index is cut by term into blocks of about ``POSTINGS`` postings, so that a task holds a block and a number for each
+The index is cut by term into blocks of ``POSTINGS`` postings, the more the more groups there are; so that a task holds a block and a number for each
 group of its language, and its sums meet by pair. The largest part of the result is as large: all pairs of a language's
 groups. Terms are counted task by task before the shuffle; a source or a term that most rows have is one more key.
 
@@ -41,7 +41,7 @@ _BYTES = bytes(b + 32 if chr(b) in UPPER else b if b > 127 or chr(b) in LOWER el
 
 #: A task holds about so many counts before it sends them on.
 HELD = 200_000
-POSTINGS = 1 << 20
+POSTINGS = (1 << 14, 1 << 20)
 #: So many postings are scattered at once.
 GATHERED = 1 << 20
 
@@ -59,7 +59,7 @@ def term_counts(docs: DataFrame, lang_col: str = "lang", source_col: str = "sour
         held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
 
         def flush() -> Iterator[pd.DataFrame]:
-            for (lang, source), (n, rows) in held.items():
+            for (lang, source), (n, rows) in ((k, v) for k, v in held.items() if v[0]):
                 yield pd.DataFrame({"lang": lang, "source": source, "term": [t.decode("utf-8", "surrogatepass") for t in n], "n": [*n.values()], "rows": [rows[t] for t in n]})
             held.clear()
 
@@ -133,7 +133,9 @@ def audit(docs: DataFrame, least: int = 30, most: int = 50, lang_col: str = "lan
     named = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(a) for c, a in ((lang_col, "lang"), (source_col, "source"))]
     groups = docs.select(*named).distinct().join(totals, ["lang", "source"], "left").join(sizes, "lang", "left").na.fill(0, ["total", "v", "total_lang", "postings"])
     groups = groups.withColumn("g", (F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1).cast("int"))
-    groups = groups.withColumn("base", share(F.lit(0), F.col("total"), F.col("v"))).withColumn("blocks", F.greatest(F.lit(1), F.ceil(F.col("postings") / POSTINGS)).cast("int"))
+    # as many postings to a block as it has sums of pairs to send on, within bounds
+    size = F.least(F.lit(POSTINGS[1]), F.greatest(F.lit(POSTINGS[0]), F.pow(F.count("*").over(Window.partitionBy("lang")), F.lit(2))))
+    groups = groups.withColumn("base", share(F.lit(0), F.col("total"), F.col("v"))).withColumn("blocks", F.ceil(F.greatest(F.lit(1), F.col("postings")) / size).cast("int"))
     groups = materialise(groups, "divergence-groups")
 
     shares = kept.join(groups.select("lang", "source", "g", "total", "v", "total_lang", "blocks"), ["lang", "source"])
