@@ -19,7 +19,8 @@ lengths are one cell. Vectors of different lengths don't meet.
 
 Rows with a null id, label or vector, or with a null or non-finite component, take no part; zero and empty vectors do.
 Rows that repeat id, label and vector count once. Rows that share an id but not the rest are one item, scored by the
-best of them that has the label asked for, and each is an anchor of its own; an anchor meets no row of its own id.
+best of them that has the label asked for and fits the window, and each is an anchor of its own; an anchor meets no row
+of its own id.
 Scores beyond 2**53 are computed with Python's integers and without a tree, and beyond a long they are cut to its range.
 Ties go to smaller ids; fewer rows than asked give all of them; an empty table gives an empty result.
 """
@@ -162,7 +163,7 @@ class Root:
         for n, vectors in of.items():
             count, most = sizes[n]
             if np.isfinite(most):
-                x = lifted(scaled(np.array(vectors, np.float64).reshape(-1, n), scale), most)
+                x = lifted(scaled(np.array(vectors, np.float64).reshape(len(vectors), n), scale), most)
                 self.points[n] = x[spread(x, min(CELLS, -(-count * 8 * max(n, 1) // SHARD_BYTES)))]
 
     def distances(self, n: int, rows: np.ndarray, anchors: bool) -> np.ndarray | None:
@@ -243,7 +244,7 @@ def _met(entries: DataFrame, asked: DataFrame, root: Root, k: int, same: bool, f
         made: list[tuple] = []  # a task's cells come shard by shard
         for cell in cells:
             for x in cell.itertuples(index=False):
-                rows, queries = (scaled(np.frombuffer(b, np.float64).reshape(-1, x.n) if x.n else np.zeros((len(i) // 8, 0)), root.scale) for b, i in ((x.m, x.ids), (x.q, x.q_akey)))
+                rows, queries = (scaled(np.frombuffer(b, np.float64).reshape(len(i) // 8, x.n), root.scale) for b, i in ((x.m, x.ids), (x.q, x.q_akey)))
                 ids, labels = np.frombuffer(x.ids, np.int64), np.frombuffer(x.labels, np.int64)
                 asked_ = pd.DataFrame({c: np.frombuffer(getattr(x, f"q_{c}"), np.int64) for c in ("anchor_id", "akey", "positive_id", "label", "low", "high", "floor")})
                 exact = _narrowest(rows, queries) is not object
