@@ -5,7 +5,7 @@ starts in a document with a smaller id. Hashing every window would make a row fo
 ``ANCHOR`` words are hashed only at positions whose remainder modulo ``PERIOD`` is in a difference cover: for any two
 positions there is a shift below the period that takes both to cover positions, so two equal windows always hold an
 equal anchor that both documents hashed. Then it extends: only windows around anchors that several documents share
-are compared, by 128-bit digests of the whole window.
+are compared, by two 64-bit digests of the whole window, which come from different digests of its words.
 
 Three rounds move over the shuffle, each in packed blobs rather than rows: anchors to buckets of their hash; from
 there, what is shared, to buckets of documents; their windows to buckets of window digests, and back. Texts are
@@ -71,21 +71,24 @@ class Words:
         self.left = self.counts[self.doc] - self.at
         first = np.cumsum(lengths) - lengths
         if len(starts):
-            place = np.arange(lengths.sum()) - np.repeat(first, lengths)
-            weighed = (buf[~space].astype(_U) + _U(1)) * _powers(_ODD[0], int(lengths.max()))[place]
-            self.word = _mix(np.add.reduceat(weighed, first) + lengths.astype(_U) * _ODD[1])
+            # each byte at each place of a word has a number of its own, once for each digest; a word's is their sum
+            at = (np.arange(lengths.sum()) - np.repeat(first, lengths)).astype(_U) << _U(8) | buf[~space]
+            self.word = tuple(_mix(np.add.reduceat(_mix(at * odd + odd), first) + lengths.astype(_U) * odd) for odd in _ODD[:2])
         else:
-            self.word = np.zeros(0, _U)
+            self.word = (np.zeros(0, _U),) * 2
 
     def runs(self, length: int, which: int = 0) -> np.ndarray:
         """The digest of the run of so many words that starts at each word; wrong where a text ends before."""
-        value = self.word if not which else _mix(self.word ^ _ODD[2])
-        base = _ODD[1 + which]
+        value, base = self.word[which], _ODD[1 + which]
         inverse = _U(pow(int(base), -1, 1 << 64))
         total = np.concatenate([np.zeros(1, _U), np.cumsum(value * _powers(base, len(value)))])
         upto = np.minimum(np.arange(len(value)) + length, len(value))
         return _mix((total[upto] - total[:-1]) * _powers(inverse, len(value)))
 
+    def windows(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Two digests, made from different digests of the words, of the windows that start at some words."""
+        return self.runs(WINDOW)[at], self.runs(WINDOW, 1)[at]
+
     def anchors(self) -> np.ndarray:
         """The indices of the words at which an anchor starts."""
         in_cover = np.isin(np.arange(PERIOD), COVER)
@@ -93,7 +96,7 @@ class Words:
 
     def windows_around(self, anchors: np.ndarray) -> np.ndarray:
         """The indices of the words at which a window starts that holds one of the anchors."""
-        n = len(self.word)
+        n = len(self.at)
         low = np.maximum(anchors - (WINDOW - ANCHOR), anchors - self.at[anchors])
         high = np.minimum(anchors, self.bounds[self.doc[anchors] + 1] - WINDOW)
         marks = np.bincount(low, minlength=n + 1) - np.bincount(high + 1, minlength=n + 1)[: n + 1]
@@ -101,7 +104,7 @@ class Words:
 
     def covered(self, windows: np.ndarray) -> np.ndarray:
         """Which words these windows cover."""
-        n = len(self.word)
+        n = len(self.at)
         marks = np.bincount(windows, minlength=n + 1) - np.bincount(windows + WINDOW, minlength=n + 1)[: n + 1]
         return np.cumsum(marks)[:n] > 0
 
@@ -139,6 +142,11 @@ def _of(ids: np.ndarray, digests: np.ndarray) -> np.ndarray:
     return _mix(xxhash64_of_longs(ids) ^ digests)
 
 
+def _both(h: np.ndarray, g: np.ndarray) -> np.ndarray:
+    """One digest of a window from its two."""
+    return _mix(h + _mix(g ^ _ODD[2]))
+
+
 def _whole(texts: pd.Series) -> np.ndarray:
     """Digests of whole texts."""
     return np.array([xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) for t in texts], _U)
@@ -217,8 +225,8 @@ def _run(docs: DataFrame, id_col: str, text_col: str, kept: str, render) -> Data
             at = words.anchors()
             at = at[np.isin(_of(own[words.doc[at]], words.runs(ANCHOR)[at]), known)]
             at = words.windows_around(at)
-            h, g, d = words.runs(WINDOW)[at], words.runs(WINDOW, 1)[at], own[words.doc[at]]
-            one = _unique(d, h)
+            (h, g), d = words.windows(at), own[words.doc[at]]
+            one = _unique(d, _both(h, g))
             found.append((h[one], g[one], d[one]))
         h, g, d = (np.concatenate(x) for x in zip(*found, strict=True))
         return _blobs((h >> _U(8)) % _U(n), h=h, g=g, d=d)
@@ -229,7 +237,7 @@ def _run(docs: DataFrame, id_col: str, text_col: str, kept: str, render) -> Data
         h, g, d = h[order], g[order], d[order]
         new = np.concatenate([[True], (h[1:] != h[:-1]) | (g[1:] != g[:-1])])[: len(h)]
         later = d > d[np.flatnonzero(new)][np.cumsum(new) - 1] if len(h) else new
-        h, d = h[later], d[later]
+        h, d = _both(h[later], g[later]), d[later]
         return _blobs(xxhash64_of_longs(d).view(np.int64) % n, h=h, d=d)
 
     def cut(mine: pd.DataFrame, repeats: pd.DataFrame) -> pd.DataFrame:
@@ -251,7 +259,7 @@ def _run(docs: DataFrame, id_col: str, text_col: str, kept: str, render) -> Data
         for own, part in _pieces(mine_ids[rest], [texts[i] for i in rest]):
             words = Words(part)
             at = np.flatnonzero(words.left >= WINDOW)
-            at = at[np.isin(_of(own[words.doc[at]], words.runs(WINDOW)[at]), known)]
+            at = at[np.isin(_of(own[words.doc[at]], _both(*words.windows(at))), known)]
             stays = ~words.covered(at)
             for k, t in enumerate(part):
                 own_stays = stays[words.bounds[k] : words.bounds[k + 1]]
