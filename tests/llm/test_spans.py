@@ -3,6 +3,9 @@
 import hashlib
 import random
 import re
+import time
+
+import pytest
 
 from daymill.llm import pii, secrets
 
@@ -121,3 +124,31 @@ def test_many_matches_in_one_text(spark):
                 out += [text[at : int(a)], f"<{kind}>"]
             at = max(at, int(b))
         assert clean[d] == "".join(out) + text[at:]
+
+
+BEGINNINGS = {
+    "assign": "password=", "access": "AKIA", "hex": "0123456789abcdef0123456 ", "private_key": "-----BEGIN ", "code_host": "ghp_",
+    "chat": "xoxb-", "cloud_key": "AIza", "payment": "sk_live_", "web_token": "eyJ", "url_login": "://a:",
+}
+
+
+@pytest.mark.parametrize("kind", sorted(secrets.RULES))
+def test_repeated_beginnings_take_linear_time(spark, kind):
+    def took(n):
+        text = BEGINNINGS[kind] * n + " .eyJ" + "x" * 9
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string").repartition(1)
+        began = time.time()
+        secrets.scan(df, rules={kind: secrets.RULES[kind]}).collect()
+        return time.time() - began
+
+    took(10)
+    once, more = min(took(10_000) for _ in range(2)), min(took(40_000) for _ in range(2))
+    assert more < 8 * once + 2
+
+
+def test_tokens_of_three_parts(spark):
+    part = "eyJ" + "x" * 12
+    rows = [(1, f"a {part}.{part}.{'s' * 12} b"), (2, f"x{part}.{part}.{'s' * 12}"), (3, f"{part}.{part}"), (4, f".{part}.{part}.{'s' * 9}"), (5, f"={part}.{part}.{'-' * 10}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secrets.report(df).collect()}
+    assert got == {1: "web_token:2:46", 2: "", 3: "", 4: "", 5: "web_token:1:43"}
