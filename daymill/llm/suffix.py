@@ -135,13 +135,20 @@ class _Found:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["key", "h", "g", "off", "size", "at"])
 
 
-def suffixes(text: np.ndarray, depth: int) -> np.ndarray:
-    """The places of a text's suffixes in the order of their first ``depth`` bytes at least, by two-stage sorting."""
+def suffixes(text: np.ndarray, depth: int, wanted: np.ndarray | None = None) -> np.ndarray:
+    """The places of a text's suffixes in the order of their first ``depth`` bytes at least, by two-stage sorting.
+
+    wanted: which of them are asked for. Others come along only if those that are asked for are induced from them.
+    """
     n, raw = len(text), text.tobytes()
     changes = np.flatnonzero(text[1:] != text[:-1])
     next_ = np.searchsorted(changes, np.arange(n))
     smaller = np.append(text[changes] < text[changes + 1], False)[next_]
-    direct = np.array(sorted(np.flatnonzero(smaller).tolist(), key=lambda i: raw[i : i + depth]), np.int64)
+    direct = np.flatnonzero(smaller)
+    if wanted is not None:
+        needed = np.unique(np.searchsorted(direct, np.flatnonzero(wanted)))  # the first from each place on
+        direct = direct[needed[needed < len(direct)]]
+    direct = np.array(sorted(direct.tolist(), key=lambda i: raw[i : i + depth]), np.int64)
     bounds = np.searchsorted(text[direct], np.arange(257))
     heads: list[list[np.ndarray]] = [[] for _ in range(256)]
     if n:
@@ -200,9 +207,9 @@ def repeated(parts: list[bytes], times: np.ndarray, window: int) -> list[list[in
     text = np.frombuffer(b"\0".join(parts) + b"\0", np.uint8)
     ends = np.cumsum([len(p) + 1 for p in parts])
     of = np.repeat(np.arange(len(parts)), np.diff(ends, prepend=0))
-    place = np.arange(len(text))
-    order = suffixes(text, window)
-    order = order[place[order] + window < ends[of[order]]]  # where a window starts
+    wanted = np.arange(len(text)) + window < ends[of]  # where a window starts
+    order = suffixes(text, window, wanted)
+    order = order[wanted[order]]
     same = agree(text, order[:-1], order[1:], window)
     group = np.concatenate([[0], np.cumsum(~same)])[: len(order)]
     several = np.bincount(group, weights=times[of[order]]) >= 2

@@ -75,6 +75,9 @@ def test_suffixes_are_in_order():
         assert order.tolist() == sorted(range(700), key=lambda i: raw[i:])
         cut = suffix.suffixes(text, 6).tolist()
         assert sorted(cut) == [*range(700)] and [raw[i : i + 6] for i in cut] == sorted(raw[i : i + 6] for i in cut)
+        wanted = rnd.random(700) < 0.2
+        some = suffix.suffixes(text, 700, wanted)
+        assert some[wanted[some]].tolist() == [i for i in order.tolist() if wanted[i]]
     assert len(suffix.suffixes(np.zeros(0, np.uint8), 5)) == 0
 
 
