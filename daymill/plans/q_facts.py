@@ -10,8 +10,8 @@ from pyspark.sql import types as T
 from ..functions import scalars
 from ..operators import merge, nested, rows, sinks
 from ..scratch import folder
-from ..sources import archives, files, listings
-from ..streaming import feed
+from ..sources import archives, files, json_arrays, listings, sequence_feed
+from ..streaming import feed, gaps
 from ._register import registry
 from .inputs import DOCUMENT, LINE, LINES_SQL, MERGED_SQL, ORDER_OF_SOURCES, SOURCES_SQL, documents, table, three_sources
 
@@ -77,7 +77,20 @@ def src_json_array_any(spark, sf_dir):
     record = F.replace(F.to_json(F.struct("c_custkey", "c_name", "c_nationkey")), F.lit(","), F.lit(",\n  "))
     body = table(spark, sf_dir, "customer").groupBy(F.expr("c_custkey div 100").alias("k")).agg(F.array_join(F.collect_list(record), ",").alias("r"))
     body.select("k", F.concat(F.lit("[\n"), "r", F.lit("]")).alias("value")).repartition("k").write.partitionBy("k").option("lineSep", "\n").text(path)
-    return files.read_json_array(spark, path, "c_custkey bigint, c_name string, c_nationkey bigint")
+    return json_arrays.read_json_array(spark, path, "c_custkey bigint, c_name string, c_nationkey bigint")
+
+
+@query("SELECT doc_id, lang, md5(text) AS digest FROM documents")
+def src_json_array_split(spark, sf_dir):
+    """One array in one file, with quotes, escapes and brackets in its texts, read by as many tasks as Spark splits it into."""
+    path = folder(spark, "one-array")
+    d = table(spark, sf_dir, "documents")
+    odd = F.concat(F.lit('}"],[\\{'), F.col("text"))
+    record = F.concat(F.lit("\n  "), F.to_json(F.struct("doc_id", "lang", odd.alias("text"))), F.lit(","))
+    ends = spark.createDataFrame([(0, "["), (2, '{"end": true}\n]')], "k int, value string")
+    d.select(F.lit(1).alias("k"), record.alias("value")).unionByName(ends).repartition(1).sortWithinPartitions("k").select("value").write.text(path)
+    found = json_arrays.read_json_array(spark, path, "doc_id bigint, lang string, text string, end boolean").filter("end IS NULL")
+    return found.select("doc_id", "lang", F.md5(F.substring("text", 8, 1 << 30)).alias("digest"))
 
 
 @query("SELECT c_custkey, c_name, c_mktsegment FROM customer")
@@ -449,3 +462,32 @@ def sequence_gaps(spark, sf_dir):
 def feed_status(spark, sf_dir):
     e = table(spark, sf_dir, "events").withColumn("uploaded", F.col("ts") - F.expr("INTERVAL 30 SECONDS"))
     return feed.feed_status(e, "event_id", "uploaded", "ts").drop("last_upload")
+
+
+@query("""WITH e AS (SELECT event_id AS s, ts FROM events WHERE event_id % 7 <> 3), g AS (SELECT lag(s) OVER (ORDER BY s) AS after, s AS before, ts FROM e)
+SELECT after, before, CAST(before - after - 1 AS BIGINT) AS missing FROM g WHERE before - after > 1 AND ts <= (SELECT max(ts) FROM e) - INTERVAL 2 MINUTE""")
+def live_gaps(spark, sf_dir):
+    """Gaps told by a stream that gets some objects late and others twice, less those withdrawn."""
+    source, path = folder(spark, "gap-feed"), folder(spark, "gaps")
+    e = table(spark, sf_dir, "events").filter("event_id % 7 <> 3").select(F.col("event_id").alias("s"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("t"))
+    arrival = F.col("s") + F.when(F.col("s") % 11 == 0, 5000).otherwise(0)  # some come much later
+    landed = e.withColumn("a", F.explode(F.when(F.col("s") % 5 == 0, F.array(arrival, arrival + 2000)).otherwise(F.array(arrival))))
+    landed.repartitionByRange(6, "a").select("s", "t").write.json(source)
+    stream = spark.readStream.schema("s long, t timestamp").option("maxFilesPerTrigger", 1).json(source)
+    gaps.start(gaps.gap_stream(stream, "s", "t"), path, folder(spark, "gap-checkpoint"), every=None).awaitTermination()
+    told = spark.read.schema(gaps.TOLD).parquet(path)
+    return gaps.open_gaps(told).select("after", "before", "missing")
+
+
+@query("SELECT event_id AS sequence, user_id AS user, event_type AS kind FROM events")
+def live_sequences(spark, sf_dir):
+    """A feed landed in two parts, some objects twice, read by two runs of a stream from one checkpoint."""
+    source, path, checkpoint = folder(spark, "sequences"), folder(spark, "sequence-rows"), folder(spark, "sequence-checkpoint")
+    e = table(spark, sf_dir, "events")
+    half = e.agg(F.max("event_id")).first()[0] // 2
+    line = F.to_json(F.struct(F.col("event_id").alias("sequence_id"), F.col("user_id").alias("user"), F.col("event_type").alias("kind"))).alias("value")
+    for part in (e.filter(F.col("event_id") <= half), e.filter((F.col("event_id") > half) | (F.col("event_id") % 10 == 0))):
+        sequence_feed.land(part.select(line), source, 4096)
+        rows_ = sequence_feed.read_sequences(spark, source, 4096).select("sequence", F.from_json("value", "user bigint, kind string").alias("o")).select("sequence", "o.*")
+        rows_.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("sequence long, user long, kind string").parquet(path)

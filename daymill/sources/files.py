@@ -1,4 +1,4 @@
-"""CSV days by header name, JSON maps and arrays, documents, ranges of daily tables."""
+"""CSV days by header name, JSON maps and arrays of a record a line, documents, ranges of daily tables."""
 
 from __future__ import annotations
 
@@ -65,12 +65,6 @@ def read_json_array_lines(spark: SparkSession, path: str | list[str], schema: st
     return lines.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
 
 
-def read_json_array(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
-    """The records of top-level JSON arrays in any layout. A file is read by one task: where each record has a line of
-    its own, read_json_array_lines() splits it."""
-    return spark.read.schema(schema).json(path, multiLine=True, mode="FAILFAST").select(*T.StructType.fromDDL(schema).names)
-
-
 def read_table(spark: SparkSession, path: str, schema: T.StructType, day: str, date_from=None, date_to=None, columns: list[str] | None = None, ordered: bool = False) -> DataFrame:
     """A range of a daily table, both days inclusive, in the contract's column order; ordered by day if asked for.
 
