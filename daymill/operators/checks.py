@@ -7,13 +7,16 @@ n_rows, dataset, object_key, revision, unknown_keys). Bounds of days are inclusi
 
 from __future__ import annotations
 
-import gzip
+import hashlib
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.stores import listed, opened
+
 OBJECT = ["dataset", "object_key"]
 LIVE = ("imported", "provisional")
 NOTES = ("provisional", "upstream_ahead", "source_lacks_day")
@@ -83,17 +86,34 @@ def check_missing_raw(objects: DataFrame, revisions: DataFrame, files: DataFrame
     return issues(j, "missing_raw", F.col("raw_path"))
 
 
-def file_hashes(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(raw_path, sha256, unzipped_sha256) of raw files; the latter only of gzip files."""
-    files = spark.read.format("binaryFile").load(paths)
-    plain = files.select(F.col("path").alias("raw_path"), F.sha2("content", 256).alias("sha256"))
+def file_hashes(spark: SparkSession, paths: str | list[str], piece: int = 1 << 20) -> DataFrame:
+    """(raw_path, sha256, unzipped_sha256) of raw files; the latter only of gzip files, null if one is damaged.
 
-    def unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({"raw_path": b["path"], "content": [gzip.decompress(c) for c in b["content"]]})
+    Tasks stream the files by path, both digests at once, so no file is ever held as a whole.
+    """
 
-    zipped = files.filter(F.col("path").endswith(".gz")).select("path", "content").mapInPandas(unzip, "raw_path string, content binary")
-    return plain.join(zipped.select("raw_path", F.sha2("content", 256).alias("unzipped_sha256")), "raw_path", "left")
+    def hash_(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path in batch["path"]:
+                store, inside = opened(path)
+                plain, unzipped = hashlib.sha256(), hashlib.sha256() if path.endswith(".gz") else None
+                unzip = zlib.decompressobj(31)
+                with store.open_input_stream(inside, compression=None) as f:
+                    while data := f.read(piece):
+                        plain.update(data)
+                        try:
+                            while unzipped and data:
+                                unzipped.update(unzip.decompress(data, piece))
+                                data = unzip.unconsumed_tail
+                                if unzip.eof:  # one gzip member after another
+                                    data, unzip = unzip.unused_data, zlib.decompressobj(31)
+                        except zlib.error:
+                            unzipped = None
+                if unzipped:
+                    unzipped.update(unzip.flush())
+                yield pd.DataFrame({"raw_path": [path], "sha256": [plain.hexdigest()], "unzipped_sha256": [unzipped.hexdigest() if unzipped else None]})
+
+    return listed(spark, paths).select("path").mapInPandas(hash_, "raw_path string, sha256 string, unzipped_sha256 string")
 
 
 def check_raw_hash(objects: DataFrame, revisions: DataFrame, hashes: DataFrame) -> DataFrame:

@@ -85,7 +85,7 @@ def _scoped(scope: str, objects: Column) -> Column:
 
 
 def assert_same_count(parsed: int, documents: int) -> None:
-    """Rows parsed must be documents read; both come from observe() on one job."""
+    """Rows parsed must be documents read; sinks.stage_counted() observes both in one job."""
     if parsed != documents:
         raise ValueError(f"{parsed} rows from {documents} documents")
 

@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.parquet as pq
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.stores import listed, opened
+from .nested import assert_same_count
+
 
 def to_contract(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The contract's columns in order and type; a missing one is an error, others are left out."""
@@ -46,14 +52,29 @@ def _files(spark: SparkSession, path: str) -> set[str]:
     return {f.getPath().getName() for f in store.listStatus(at)} if store.exists(at) else set()
 
 
-def manifest_rows(written: DataFrame, table: str, day: str, dataset: str, revision: int, parser_version: int, built: DataFrame | None = None, unknown: DataFrame | None = None, hashes: DataFrame | None = None) -> DataFrame:
+def stage_counted(documents: DataFrame, parse: Callable[[DataFrame], DataFrame], path: str) -> tuple[DataFrame, int]:
+    """The rows that parse() makes of documents, written to a staging folder, and how many they are: one for each document.
+
+    Both are counted inside the one job that writes. If a document gave no row, or a row came from nowhere, it fails before
+    any day is published from the staging folder.
+    """
+    read, made = Observation(), Observation()
+    one = F.count(F.lit(1)).alias("n")
+    rows = parse(documents.observe(read, one)).observe(made, one)
+    rows.write.parquet(path)
+    assert_same_count(made.get["n"], read.get["n"])
+    return documents.sparkSession.read.schema(rows.schema).parquet(path), made.get["n"]
+
+
+def manifest_rows(stats: DataFrame, table: str, day: str, dataset: str, revision: int, parser_version: int, built: DataFrame | None = None, unknown: DataFrame | None = None, hashes: DataFrame | None = None) -> DataFrame:
     """(table_name, day, n_rows, dataset, object_key, revision, sha256, parser_version, written_at, unknown_keys, built_from)
     of each day written; append these.
 
+    stats: (day, n_rows) of the table, as partition_stats() reads them from its footers.
     built: (day, built_from) of merged days; unknown: (day, unknown_keys array) where documents drifted; hashes: (day,
     sha256) of the files that days came from. Days that they lack get null, and no unknown keys.
     """
-    out = written.groupBy(day).agg(F.count("*").alias("n_rows"))
+    out = stats.select(day, "n_rows")
     for name, kind, given in (("built_from", "string", built), ("unknown_keys", "array<string>", unknown), ("sha256", "string", hashes)):
         out = out.withColumn(name, F.lit(None).cast(kind)) if given is None else out.join(given.select(day, name), day, "left")
     key = F.concat(F.date_format(day, "yyyy"), F.lit("/"), F.col(day).cast("string"))
@@ -61,9 +82,20 @@ def manifest_rows(written: DataFrame, table: str, day: str, dataset: str, revisi
 
 
 def partition_stats(spark: SparkSession, path: str, day: str) -> DataFrame:
-    """(day, n_files, n_rows) of a written table."""
-    table = spark.read.parquet(path)
-    return table.select(day, F.col("_metadata.file_path").alias("f")).groupBy(day).agg(F.countDistinct("f").alias("n_files"), F.count("*").alias("n_rows"))
+    """(day, n_files, n_rows) of a written table, from the footers of its files; no data page is read."""
+
+    def footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for p in batch["path"]:
+                store, inside = opened(p)
+                with store.open_input_file(inside) as f:
+                    rows.append(pq.read_metadata(f).num_rows)
+            yield pd.DataFrame({"path": batch["path"], "n": rows})
+
+    counts = listed(spark, path, "*.parquet").select("path").mapInPandas(footers, "path string, n long")
+    of = F.to_date(F.regexp_extract("path", f"/{day}=([^/]+)/[^/]*$", 1)).alias(day)
+    return counts.groupBy(of).agg(F.count("*").alias("n_files"), F.sum("n").alias("n_rows"))
 
 
 def register_views(spark: SparkSession, tables: dict[str, tuple[str | None, T.StructType]]) -> None:

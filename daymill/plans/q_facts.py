@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from ..functions import scalars
 from ..operators import merge, nested, rows, sinks
 from ..scratch import folder
-from ..sources import archives, files, json_arrays, listings, sequence_feed
+from ..sources import archives, files, json_arrays, listings, sequence_feed, stores
 from ..streaming import feed, gaps
 from ._register import registry
 from .inputs import DOCUMENT, LINE, LINES_SQL, MERGED_SQL, ORDER_OF_SOURCES, SOURCES_SQL, documents, table, three_sources
@@ -39,6 +39,33 @@ def src_tar_members(spark, sf_dir):
     return lines.groupBy(F.split("path", "/")[0].alias("path"), "member").agg(F.count("*").alias("n_lines"))
 
 
+def _archives(spark, packed):
+    """Packed archives (g, content) as files."""
+    path = folder(spark, "archives")
+    stores.write_files(packed.select(F.concat(F.translate("g", "/", "-"), F.lit(".tar")).alias("name"), "content"), path)
+    return path
+
+
+@query("SELECT role AS path, conv_id, CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(turn) AS BIGINT) AS turns FROM conversations GROUP BY ALL")
+def src_tar_split(spark, sf_dir):
+    """Members of plain archives, dealt by their places in the archives to several tasks each."""
+    c = table(spark, sf_dir, "conversations").withColumn("g", F.concat_ws("/", "role", F.expr("conv_id div 200").cast("string")))
+    name = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    packed = archives.pack_tar(c.select("g", F.concat(name, F.lit(".json")).alias("n"), F.to_json(F.struct("conv_id", "turn", "role", "text")).alias("t")), "g", "n", "t")
+    docs = files.parse_documents(archives.read_tar_documents(spark, _archives(spark, packed), chunk=1 << 17), "struct<conv_id:bigint,turn:bigint,role:string>")
+    return docs.groupBy(F.col("doc.role").alias("path"), "doc.conv_id").agg(F.count("*").alias("n_docs"), F.sum("doc.turn").alias("turns"))
+
+
+@query("SELECT role AS path, 'turns.txt' AS member, CAST(count(*) AS BIGINT) AS n_lines, CAST(sum(conv_id * 100 + turn) AS BIGINT) AS total FROM conversations GROUP BY ALL")
+def src_tar_lines(spark, sf_dir):
+    """The lines of named members, each member read by several tasks."""
+    c = table(spark, sf_dir, "conversations").groupBy("role", F.expr("conv_id div 2000").alias("k")).agg(F.array_join(F.collect_list((F.col("conv_id") * 100 + F.col("turn")).cast("string")), "\n").alias("t"))
+    packed = archives.pack_tar(c.select(F.concat_ws("/", "role", F.col("k").cast("string")).alias("g"), F.lit("data/turns.txt").alias("n"), "t"), "g", "n", "t")
+    lines = archives.read_tar_lines(spark, _archives(spark, packed), ["turns.txt"], chunk=1 << 12)
+    role = F.regexp_extract("path", r"/([a-z]+)-\d+\.tar$", 1)
+    return lines.groupBy(role.alias("path"), "member").agg(F.count("*").alias("n_lines"), F.sum(F.col("line").cast("long")).alias("total"))
+
+
 CSV_TYPES = {"date": "date", "region_id": "bigint", "type_id": "bigint", "average": "double", "highest": "double", "lowest": "double", "volume": "bigint", "order_count": "bigint", "http_last_modified": "string"}
 
 
@@ -185,6 +212,22 @@ def nest_header(spark, sf_dir):
     return df.withColumn("time", F.date_format(scalars.lenient_timestamp(F.col("t")), "yyyy-MM-dd HH:mm:ss")).drop("t")
 
 
+@query("SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS order_day, CAST(count(*) AS BIGINT) AS n_rows, (SELECT count(*) FROM orders) AS n_observed FROM orders GROUP BY 1")
+def parse_counted(spark, sf_dir):
+    """Headers staged with documents and rows counted in the job that writes them, then published by day."""
+    header = T.StructType([T.StructField("id", T.LongType()), T.StructField("order_day", T.DateType())])
+
+    def parse(docs):
+        return nested.flatten_header(files.parse_documents(docs, DOCUMENT), {"id": "doc.id"}, day="order_day")
+
+    docs = documents(spark, sf_dir).withColumn("order_day", F.trunc("order_day", "month"))
+    staged, n = sinks.stage_counted(docs, parse, folder(spark, "staged"))
+    path = folder(spark, "headers")
+    sinks.write_days(staged, path, header, "order_day", ["id"])
+    written = files.read_table(spark, path, header, "order_day")
+    return written.groupBy("order_day").agg(F.count("*").alias("n_rows")).withColumn("n_observed", F.lit(n).cast("long"))
+
+
 @query(f"WITH {LINES_SQL} SELECT l_orderkey AS id, CAST((rn + 2) // 3 AS INT) AS ordinal, l_partkey AS part, l_suppkey AS supp, l_quantity AS qty FROM l WHERE rn % 3 = 1 AND l_orderkey IN (SELECT o_orderkey FROM orders)")
 def explode_children(spark, sf_dir):
     return nested.explode_ordinal(_parsed(spark, sf_dir), "doc.lines", ["doc.id"], {"part": "part", "supp": "supp", "qty": "qty"})
@@ -358,7 +401,8 @@ def manifest(spark, sf_dir):
     keys = F.array("props", F.when(F.col("event_id") % 2 == 1, F.lit('{"odd":1,"known":2}')))
     unknown = nested.unknown_keys_by_day(e, keys, ["known"], "day")
     hashes = e.groupBy("day").agg(F.sha2(F.array_join(F.sort_array(F.collect_list("event_id")), ",").cast("binary"), 256).alias("sha256"))
-    rows_ = sinks.manifest_rows(e, "events", "day", "events", 1, 3, unknown=unknown, hashes=hashes)
+    stats = sinks.partition_stats(spark, _event_table(spark, sf_dir), "day")
+    rows_ = sinks.manifest_rows(stats, "events", "day", "events", 1, 3, unknown=unknown, hashes=hashes)
     return rows_.withColumn("unknown_keys", F.array_join("unknown_keys", ",")).drop("built_from", "written_at")
 
 

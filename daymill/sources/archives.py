@@ -8,10 +8,14 @@ import tarfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyarrow.fs import FileSystem, LocalFileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .stores import listed, opened
+
+#: One task reads about so much of an archive.
+CHUNK = 64 << 20
+
 
 def read_tar_json(spark: SparkSession, paths: str | list[str], suffix: str = ".json") -> DataFrame:
     """(path, member, doc): each regular member with the suffix as one line; empty ones are skipped.
@@ -31,9 +35,8 @@ def unpack_json(files: DataFrame, suffix: str = ".json") -> DataFrame:
                 with tarfile.open(fileobj=io.BytesIO(content), mode="r:*") as archive:
                     for member in archive:
                         if member.isreg() and member.name.endswith(suffix):
-                            text = archive.extractfile(member).read().decode().strip()
-                            if text:
-                                rows.append((path, member.name, json.dumps(json.loads(text)) if "\n" in text else text))
+                            if text := _one_line(archive.extractfile(member).read()):
+                                rows.append((path, member.name, text))
                         if len(rows) >= 1000:
                             yield pd.DataFrame(rows, columns=["path", "member", "doc"])
                             rows = []
@@ -42,6 +45,127 @@ def unpack_json(files: DataFrame, suffix: str = ".json") -> DataFrame:
     return files.mapInPandas(unpack, "path string, member string, doc string")
 
 
+def _one_line(data: bytes) -> str:
+    text = data.decode().strip()
+    return json.dumps(json.loads(text)) if "\n" in text else text
+
+
+def tar_index(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(path, member, start, size) of the regular members of archives, from their headers alone.
+
+    Only plain archives have places in them: of a compressed one there is a single row, with a null member.
+    """
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path in batch["path"]:
+                store, inside = opened(path)
+                with store.open_input_file(inside) as f:
+                    rows = []
+                    try:
+                        archive = tarfile.open(fileobj=f, mode="r:")
+                    except tarfile.ReadError:
+                        rows = [(path, None, None, None)]
+                    else:
+                        for m in archive:
+                            if m.isreg():
+                                rows.append((path, m.name, m.offset_data, m.size))
+                            archive.members = []  # what was met isn't kept
+                            if len(rows) >= 10_000:
+                                yield pd.DataFrame(rows, columns=["path", "member", "start", "size"])
+                                rows = []
+                    yield pd.DataFrame(rows, columns=["path", "member", "start", "size"]).astype({"start": "Int64", "size": "Int64"})
+
+    files = listed(spark, paths)
+    return files.select("path").repartition(max(1, files.count()), "path").mapInPandas(walk, "path string, member string, start long, size long")
+
+
+def read_tar_documents(spark: SparkSession, paths: str | list[str], suffix: str = ".json", chunk: int = CHUNK) -> DataFrame:
+    """read_tar_json() with plain archives split: members are dealt by their places to a task for each chunk of an archive.
+
+    A compressed archive is streamed by one task.
+    """
+    index = tar_index(spark, paths).filter(F.col("member").isNull() | F.col("member").endswith(suffix))
+    dealt = _dealt(index.withColumn("chunk", F.coalesce(F.expr(f"start div {chunk}"), F.lit(-1))))
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, mine in batch.groupby("path", sort=False):
+                store, inside = opened(path)
+                if mine["member"].isna().any():
+                    with store.open_input_stream(inside, compression=None) as f, tarfile.open(fileobj=f, mode="r|*") as archive:
+                        for m in archive:
+                            if m.isreg() and m.name.endswith(suffix):
+                                yield pd.DataFrame([(path, m.name, _one_line(archive.extractfile(m).read()))], columns=["path", "member", "doc"])
+                    continue
+                with store.open_input_file(inside) as f:
+                    for x in mine.sort_values("start").itertuples(index=False):
+                        yield pd.DataFrame([(path, x.member, _one_line(f.read_at(int(x.size), int(x.start))))], columns=["path", "member", "doc"])
+
+    return dealt.mapInPandas(read, "path string, member string, doc string").filter("doc <> ''")
+
+
+def read_tar_lines(spark: SparkSession, paths: str | list[str], names: list[str], chunk: int = CHUNK) -> DataFrame:
+    """read_tar_members() with plain archives split, also within a member: a task reads the lines that start in its chunk.
+
+    A member that is missing or whose base name comes twice is an error before anything is read.
+    """
+    base = F.substring_index("member", "/", -1)
+    index = tar_index(spark, paths).withColumn("base", base)
+    plain = index.filter(F.col("base").isin(names))
+    wanted = index.select("path").distinct().join(index.filter("member IS NULL").select("path"), "path", "left_anti").select("path", F.explode(F.array(*map(F.lit, names))).alias("base"))
+    odd = wanted.join(plain.groupBy("path", "base").agg(F.count("*").alias("n")), ["path", "base"], "left").filter("n IS NULL OR n > 1").orderBy("path", "base").first()
+    if odd:
+        raise ValueError(f"{odd['path']} lacks {odd['base']}" if odd["n"] is None else f"{odd['path']} holds {odd['base']} more than once")
+    parts = plain.withColumn("from", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("size") - 1, F.lit(0)), F.lit(chunk).cast("long"))))
+    packed = index.filter("member IS NULL").withColumn("from", F.lit(None).cast("long"))
+    dealt = _dealt(parts.unionByName(packed).withColumn("chunk", F.coalesce(F.expr(f"(start + from) div {chunk}"), F.lit(-1))))
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for x in batch.itertuples(index=False):
+                store, inside = opened(x.path)
+                if pd.isna(x.member):
+                    with store.open_input_stream(inside, compression=None) as f:
+                        yield from _lines(x.path, f, names)
+                    continue
+                with store.open_input_file(inside) as f:
+                    for held in _lines_within(f, int(x.start), int(x.size), int(getattr(x, "from_")), chunk):
+                        yield pd.DataFrame({"path": x.path, "member": x.base, "line": held})
+
+    return dealt.withColumnRenamed("from", "from_").mapInPandas(read, "path string, member string, line string")
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """rows with a task for each chunk of an archive."""
+    n = rows.select("path", "chunk").distinct().count()
+    return rows.repartition(max(1, n), "path", "chunk")
+
+
+def _lines_within(f, start: int, size: int, at: int, chunk: int, piece: int = 1 << 20) -> Iterator[list[str]]:
+    """The lines of a member of which the first byte stands in a chunk."""
+    stop, end = start + min(size, at + chunk), start + size
+    place, rest, begun = start + at, b"", at == 0
+    if not begun:
+        place -= 1  # a line starts here if the byte before ends one
+    line_at = place
+    while place < end and (line_at < stop or not begun):
+        data = f.read_at(min(piece, end - place), place)
+        place += len(data)
+        *whole, rest = (rest + data).split(b"\n")
+        held = []
+        for line in whole:
+            if not begun:
+                begun = True
+            elif line_at < stop:
+                held.append(line.decode().rstrip("\r"))
+            line_at += len(line) + 1
+        if held:
+            yield held
+    if begun and place >= end and line_at < stop and rest:
+        yield [rest.decode().rstrip("\r")]
+
+
 def read_tar_members(spark: SparkSession, paths: list[str], names: list[str]) -> DataFrame:
     """(path, member, line): the lines of named members; each task streams archives by path, never whole.
 
@@ -55,7 +179,7 @@ def read_tar_members(spark: SparkSession, paths: list[str], names: list[str]) ->
     def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path in batch["path"]:
-                store, inside = FileSystem.from_uri(path) if ":/" in path else (LocalFileSystem(), path)
+                store, inside = opened(path)
                 with store.open_input_stream(inside, compression=None) as f:
                     yield from _lines(path, f, names)
 

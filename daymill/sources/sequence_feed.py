@@ -17,20 +17,18 @@ import re
 from collections.abc import Iterator
 
 from pyarrow import RecordBatch, array, int64, string
-from pyarrow.fs import FileSelector, FileSystem, FileType, LocalFileSystem
+from pyarrow.fs import FileSelector, FileType
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
+from .stores import opened
+
 SCHEMA = "sequence long, value string"
 WIDTH = 1 << 16
 BATCH = 4096
 
 
-def opened(path: str) -> tuple[FileSystem, str]:
-    return FileSystem.from_uri(path) if ":/" in path else (LocalFileSystem(), path)
-
-
 class Range(InputPartition):
     """The sequences of one folder after ``after`` and up to ``upto``."""
 

@@ -186,7 +186,7 @@ def test_verify_of_a_range(spark):
 def test_manifest_without_drift(spark):
     df = spark.createDataFrame([(dt.date(2024, 1, 1), 1), (dt.date(2024, 1, 2), 2)], "day date, id int")
     unknown = spark.createDataFrame([(dt.date(2024, 1, 2), ["a"])], "day date, unknown_keys array<string>")
-    got = sinks.manifest_rows(df, "t", "day", "d", 1, 3, unknown=unknown).orderBy("day").collect()
+    got = sinks.manifest_rows(df.groupBy("day").agg(F.count("*").alias("n_rows")), "t", "day", "d", 1, 3, unknown=unknown).orderBy("day").collect()
     assert [(r.n_rows, r.unknown_keys, r.sha256, r.built_from) for r in got] == [(1, [], None, None), (1, ["a"], None, None)]
     assert all(r.written_at for r in got)
 
@@ -328,3 +328,81 @@ def test_history_alone_costs_one(spark):
     stored = spark.createDataFrame([("a", i) for i in range(5)], "kind string, entity_id long")
     assert workqueue.within_budget(queue, now, 9, {"a": 2}, stored, light=(5,)).count() == 7
     assert workqueue.within_budget(queue, now, 9, {"a": 2}).count() == 4
+
+
+def plain_tar(path, members):
+    with tarfile.open(path, "w") as t:
+        for name, data in members:
+            info = tarfile.TarInfo(name)
+            info.size = len(data)
+            t.addfile(info, io.BytesIO(data))
+
+
+def test_members_of_one_archive_come_from_several_tasks(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    docs = [(f"d/{i}.json", b' {"x": %d}\n' % i if i % 9 else b"{\n\"x\": %d}" % i) for i in range(200)]
+    plain_tar(tmp_path / "in/a.tar", [*docs, ("d/empty.json", b" \n"), ("d/note.txt", b"no")])
+    (tmp_path / "in/b.tar.bz2").write_bytes(tar([("z.json", b'{"x": 999}')]))
+    df = archives.read_tar_documents(spark, str(tmp_path / "in"), chunk=20_000)
+    got = df.select("doc", F.spark_partition_id().alias("task")).collect()
+    assert sorted(int(r.doc[6:-1]) for r in got) == [*range(200), 999] and len({r.task for r in got}) > 4
+    index = archives.tar_index(spark, str(tmp_path / "in")).collect()
+    assert len(index) == 203 and [r.member for r in index if r.path.endswith("bz2")] == [None]
+
+
+@pytest.mark.parametrize("chunk", [7, 64, 1000, 1 << 20])
+def test_lines_of_one_member_come_from_several_tasks(spark, tmp_path, chunk):
+    rnd = random.Random(chunk)
+    texts = {n: ["é" * rnd.randrange(30) for _ in range(60)] for n in ("one.txt", "two.txt")}
+    data = {n: "\n".join(t).encode() + (b"\n" if n == "one.txt" else b"") for n, t in texts.items()}
+    plain_tar(tmp_path / "a.tar", [("x/one.txt", data["one.txt"]), ("x/other.txt", b"?"), ("two.txt", data["two.txt"]), ("none.txt", b"")])
+    (tmp_path / "b.tar.bz2").write_bytes(tar([(n, d) for n, d in data.items()]))
+    read = lambda name, names: sorted((r.member, r.line) for r in archives.read_tar_lines(spark, str(tmp_path / name), names, chunk).collect())
+    want = sorted((r.member, r.line) for r in archives.read_tar_members(spark, [str(tmp_path / "a.tar")], list(texts)).collect())
+    assert read("a.tar", list(texts)) == want and len(want) >= 119
+    assert read("b.tar.bz2", list(texts)) == want
+    assert read("a.tar", ["none.txt"]) == []
+    with pytest.raises(ValueError, match="lacks three"):
+        read("a.tar", ["two.txt", "three.txt"])
+    plain_tar(tmp_path / "c.tar", [("x/two.txt", b"1"), ("y/two.txt", b"2")])
+    with pytest.raises(ValueError, match="more than once"):
+        read("c.tar", ["two.txt"])
+
+
+def test_hashes_are_streamed(spark, tmp_path):
+    import gzip
+    import hashlib
+
+    data = bytes(random.Random(1).randrange(256) for _ in range(5000)) + b"0" * 300_000
+    zipped = gzip.compress(data[:2000]) + gzip.compress(data[2000:])
+    for name, content in (("a 100%.gz", zipped), ("b.gz", zipped[:-20]), ("c.gz", b"no gzip at all"), ("d", data)):
+        (tmp_path / name).write_bytes(content)
+    got = {r.raw_path.rsplit("/", 1)[1]: r for r in checks.file_hashes(spark, str(tmp_path), piece=777).collect()}
+    want = hashlib.sha256(data).hexdigest()
+    assert got["a 100%.gz"].unzipped_sha256 == want == got["d"].sha256 and got["a 100%.gz"].sha256 == hashlib.sha256(zipped).hexdigest()
+    assert got["b.gz"].unzipped_sha256 != want and got["c.gz"].unzipped_sha256 is None
+
+
+def test_statistics_come_from_footers(spark, tmp_path):
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("day", T.DateType())])
+    df = spark.range(1000).select("id", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 3).cast("int")).alias("day"))
+    sinks.write_days(df, f"{tmp_path}/t", schema, "day", ["id"], files=2)
+    stats = sinks.partition_stats(spark, f"{tmp_path}/t", "day")
+    assert "parquet" not in stats._jdf.queryExecution().executedPlan().toString().lower().replace("*.parquet", "")
+    n_files = {d: len([*(tmp_path / f"t/day=2024-01-0{d}").glob("*.parquet")]) for d in (1, 2, 3)}
+    assert sorted((r.day.day, r.n_files, r.n_rows) for r in stats.collect()) == [(1, n_files[1], 334), (2, n_files[2], 333), (3, n_files[3], 333)]
+    for part in (tmp_path / "t").glob("day=*/*.parquet"):  # data pages are not looked at
+        raw = bytearray(part.read_bytes())
+        footer = int.from_bytes(raw[-8:-4], "little") + 8
+        raw[4 : len(raw) - footer] = bytes(len(raw) - footer - 4)
+        part.write_bytes(raw)
+    assert stats.agg(F.sum("n_rows")).first()[0] == 1000
+
+
+def test_a_lost_row_stops_the_day(spark, tmp_path):
+    docs = spark.createDataFrame([('{"id":1}',), ('{"id":2}',), ('{"id":null}',)], "doc string")
+    parse = lambda df: files.parse_documents(df, "struct<id:bigint>").select("doc.id")
+    staged, n = sinks.stage_counted(docs, parse, f"{tmp_path}/a")
+    assert n == 3 and staged.count() == 3
+    with pytest.raises(ValueError, match="2 rows from 3 documents"):
+        sinks.stage_counted(docs, lambda df: parse(df).filter("id IS NOT NULL"), f"{tmp_path}/b")
