@@ -138,8 +138,15 @@ def affiliation_rows(classified: DataFrame, stored: DataFrame, key: str) -> Data
     return j.select(*[values[c].cast(stored.schema[c].dataType).alias(c) if c in values else F.col(c) for c in stored.columns])
 
 
-def unknown_parents(results: DataFrame, parents: DataFrame, parent: str = "parent_id") -> DataFrame:
-    """The parents that results name and nothing stores."""
+def unknown_parents(results: DataFrame, parents: DataFrame, parent: str = "parent_id", closed_group: int | None = None) -> DataFrame:
+    """The parents that results name and nothing stores.
+
+    With closed_group, results are classified ones: those that the source refuses, and those of stored entities that are
+    in the closed group, name none.
+    """
+    if closed_group is not None:
+        closed = F.coalesce(F.col("group_id") == closed_group, F.lit(False))
+        results = results.filter(F.col("valid") & ((F.col("class") == "unknown") | ~closed))
     return results.filter(F.col(parent).isNotNull()).select(parent).distinct().join(parents, parent, "left_anti")
 
 

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def flatten_header(df: DataFrame, fields: Mapping[str, str], counts: Mapping[str, str] | None = None, day: str | None = None) -> DataFrame:
@@ -26,15 +27,24 @@ def explode_ordinal(df: DataFrame, array: str, keys: list[str], fields: Mapping[
 def explode_two_levels(df: DataFrame, array: str, keys: list[str], fields: Mapping[str, str], inner: str, inner_schema: str) -> DataFrame:
     """Both levels in one table: parent_ordinal is null at the top, and the container's ordinal inside.
 
-    inner names the text field that holds the second level's JSON.
+    inner names the text field that holds the second level's JSON. Where inner_schema has that field too, as text, a third
+    level in it fails the job in the same pass (assert_max_depth() needs a parse of its own).
     """
+    guarded = any(f.name == inner for f in T._parse_datatype_string(inner_schema).elementType.fields)
+
     def level(e: Column, parent: Column, ordinal: Column) -> Column:
         own = [functools.reduce(Column.getField, path.split("."), e).alias(name) for name, path in fields.items()]
         return F.struct(parent.cast("int").alias("parent_ordinal"), ordinal.alias("ordinal"), *own)
 
+    def checked(e: Column, row: Column) -> Column:
+        if not guarded:
+            return row
+        deeper = F.coalesce(F.json_array_length(e[inner]), F.lit(0)) > 0
+        return F.when(deeper, F.raise_error(F.concat(F.lit("third level in "), e[inner]))).otherwise(row)
+
     def both(e: Column, i: Column) -> Column:
         top = F.array(level(e, F.lit(None), i + 1))
-        below = F.transform(F.from_json(e[inner], inner_schema, {"mode": "FAILFAST"}), lambda x, j: level(x, i + 1, j + 1))
+        below = F.transform(F.from_json(e[inner], inner_schema, {"mode": "FAILFAST"}), lambda x, j: checked(x, level(x, i + 1, j + 1)))
         return F.concat(top, F.coalesce(below, F.slice(top, 1, 0)))
 
     own = [F.col(k).alias(k.split(".")[-1]) for k in keys]

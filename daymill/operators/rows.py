@@ -74,7 +74,8 @@ def json_body_ids(body: Column) -> Column:
 
 
 def market_rows(df: DataFrame) -> DataFrame:
-    """Market days in contract order, with lenient modification times, by region and type."""
+    """Market days in contract order, with lenient modification times; rows of a task by region and type, as a day is
+    written by one (write_days orders each day anyway)."""
     time = F.try_to_timestamp(F.col("http_last_modified"), F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'"))
     columns = ["date", "region_id", "type_id", "average", "highest", "lowest", "volume", "order_count"]
-    return df.select(*columns, time.alias("http_last_modified")).orderBy("region_id", "type_id")
+    return df.select(*columns, time.alias("http_last_modified")).sortWithinPartitions("region_id", "type_id")

@@ -136,6 +136,14 @@ def unknown_parents(spark, sf_dir):
     return entities.unknown_parents(table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("parent_id")), table(spark, sf_dir, "nation").filter("n_nationkey % 4 = 0").select(F.col("n_nationkey").alias("parent_id")))
 
 
+@query(f"""{_AFFILIATION.replace("SELECT r.id,", "SELECT r.valid, r.id,")} SELECT DISTINCT parent_id FROM k WHERE valid AND (class = 'unknown' OR group_id <> 7) AND parent_id NOT IN (SELECT r_regionkey FROM region WHERE r_regionkey % 2 = 0)""")
+def affiliation_parents(spark, sf_dir):
+    """Parents to be read for the first time, without those of refused and closed results."""
+    classified, _ = _affiliation(spark, sf_dir)
+    stored = table(spark, sf_dir, "region").filter("r_regionkey % 2 = 0").select(F.col("r_regionkey").alias("parent_id"))
+    return entities.unknown_parents(classified, stored, closed_group=7)
+
+
 def _entries(spark, sf_dir, kind):
     """A work queue of the customers: a third has no entry, the others were refreshed at one of two times or never."""
     at = F.when(F.col("c_custkey") % 2 == 0, F.lit("2024-01-01")).when(F.col("c_custkey") % 5 != 0, F.lit("2024-03-01")).cast("timestamp_ntz")

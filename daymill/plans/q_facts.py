@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import scalars
-from ..operators import merge, nested, rows, sinks
+from ..operators import layers, merge, nested, rows, sinks
 from ..scratch import folder
 from ..sources import archives, files, json_arrays, listings, sequence_feed, stores
 from ..streaming import feed, gaps
@@ -84,17 +84,15 @@ def src_csv_by_name(spark, sf_dir):
 
 @query("SELECT o_orderkey AS id, o_custkey AS cust, CASE WHEN o_orderkey % 2 = 0 THEN md5(CAST(o_orderkey AS VARCHAR)) END AS hash FROM orders")
 def src_json_map(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").withColumn("k", F.expr("o_orderkey div 4000"))
+    o = table(spark, sf_dir, "orders").withColumn("day", F.trunc("o_orderdate", "year"))
     key = F.col("o_orderkey").cast("string")
     path = folder(spark, "map")
     for name, value, part in (("docs", F.to_json(F.struct(F.col("o_custkey").alias("cust"))), o), ("index", F.md5(key), o.filter("o_orderkey % 2 = 0"))):
         pair = F.concat(F.lit('"'), key, F.lit('":'), value if name == "docs" else F.concat(F.lit('"'), value, F.lit('"')))
-        body = part.groupBy("k").agg(F.concat(F.lit("{"), F.array_join(F.collect_list(pair), ","), F.lit(',"note":5}')).alias("value"))
-        body.repartition("k").write.partitionBy("k").text(f"{path}/{name}")
-    docs = files.read_json_map(spark, f"{path}/docs")  # Spark names the files of both apart, so hashes are joined by id
-    hashes = spark.read.text(f"{path}/index", wholetext=True).select(F.explode(F.from_json("value", "map<string,string>")).alias("id", "hash"))
-    j = docs.drop("hash").join(hashes, "id", "left")
-    return j.select(F.col("id").cast("bigint").alias("id"), F.get_json_object("doc", "$.cust").cast("bigint").alias("cust"), "hash")
+        body = part.groupBy("day").agg(F.concat(F.lit("{"), F.array_join(F.collect_list(pair), ","), F.lit(',"note":5}')).alias("value"))
+        body.repartition("day").write.partitionBy("day").text(f"{path}/{name}")
+    docs = files.read_json_map(spark, f"{path}/docs", f"{path}/index")
+    return docs.select(F.col("id").cast("bigint").alias("id"), F.get_json_object("doc", "$.cust").cast("bigint").alias("cust"), "hash")
 
 
 @query("SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey FROM customer")
@@ -236,8 +234,7 @@ def explode_children(spark, sf_dir):
 @query(f"""WITH {LINES_SQL} SELECT l_orderkey AS id, CASE WHEN rn % 3 <> 1 THEN CAST((rn + 2) // 3 AS INT) END AS parent_ordinal, CAST(CASE WHEN rn % 3 = 1 THEN (rn + 2) // 3 ELSE (rn - 1) % 3 END AS INT) AS ordinal,
   l_partkey AS part, l_suppkey AS supp, l_quantity AS qty FROM l WHERE l_orderkey IN (SELECT o_orderkey FROM orders)""")
 def explode_nested(spark, sf_dir):
-    checked = nested.assert_max_depth(_parsed(spark, sf_dir), "doc.lines", "extra")
-    return nested.explode_two_levels(checked, "doc.lines", ["doc.id"], {"part": "part", "supp": "supp", "qty": "qty"}, "extra", f"array<{LINE}>")
+    return nested.explode_two_levels(_parsed(spark, sf_dir), "doc.lines", ["doc.id"], {"part": "part", "supp": "supp", "qty": "qty"}, "extra", f"array<{LINE}>".replace(">>", ",extra:string>>"))
 
 
 @query("SELECT o_orderkey AS id, CAST(2 AS INT) AS violations FROM orders WHERE o_orderkey % 50 = 0")
@@ -496,6 +493,72 @@ def live_flush_children(spark, sf_dir):
     return files.read_table(spark, f"{path}/items", ITEMS, "day").join(merged, "day").select("key", "day", "ordinal", "amount", "n_objects")
 
 
+_MERGED_LIVE = """WITH s AS (
+  SELECT event_id, CAST(ts AS DATE) AS day, 'a' AS source FROM events WHERE event_id % 3 <> 0 UNION ALL SELECT event_id, CAST(ts AS DATE), 'live' FROM events WHERE event_id % 2 = 0
+),
+m AS (SELECT event_id, day, min(source) AS source, string_agg(source, ',' ORDER BY source) AS sources FROM s WHERE day IN (SELECT day FROM s WHERE source = 'live') GROUP BY ALL)"""
+FACT = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("sequence_id", T.LongType()), T.StructField("value", T.DoubleType()), T.StructField("day", T.DateType())])
+PART = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("ordinal", T.IntegerType()), T.StructField("amount", T.LongType()), T.StructField("day", T.DateType())])
+META = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("hash", T.StringType()), T.StructField("labels", T.ArrayType(T.StringType())), T.StructField("day", T.DateType())])
+
+
+def _merged_live(spark, sf_dir):
+    """A source written by day, a live feed flushed beside it with two child tables and metadata, and the merge of touched days."""
+    root, source = folder(spark, "layers"), folder(spark, "feed")
+    of = layers.Layers(root, ["a", "live"], "event_id", FACT, {"parts": (PART, ["event_id", "ordinal"]), "notes": (PART, ["event_id", "ordinal"])})
+    e = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts")).withColumn("sequence_id", F.col("event_id"))
+    a = e.filter("event_id % 3 <> 0")
+    sinks.write_days(a, of.source_path("a", "objects"), FACT, "day", ["event_id"])
+    for name, k in (("parts", 2), ("notes", 1)):
+        rows_ = a.withColumn("ordinal", F.explode(F.sequence(F.lit(1), F.lit(k)))).withColumn("amount", F.col("event_id") * 100 + F.col("ordinal"))
+        sinks.write_days(rows_, of.source_path("a", name), PART, "day", ["event_id", "ordinal"])
+    items = lambda k: F.transform(F.sequence(F.lit(1), F.lit(k)), lambda i: F.struct((F.col("event_id") * 10 + i).alias("amount")))
+    odd = F.when(F.col("event_id") % 4 == 0, F.lit(1)).alias("odd")
+    line = F.to_json(F.struct("event_id", "sequence_id", "value", "day", items(3).alias("parts"), items(1).alias("notes"), F.struct(F.md5("event_type").alias("hash"), F.array("user_id").alias("labels")).alias("meta"), odd))
+    e.filter("event_id % 2 = 0").select(line.alias("value"), "event_id").repartitionByRange(6, "event_id").select("value").write.text(source)
+
+    def child(name):
+        def rows_of(objects):
+            return nested.explode_ordinal(objects, name, ["event_id", "day"], {"amount": "amount"})
+
+        return feed.Child(of.source_path("live", name), PART, ["event_id", "ordinal"], rows_of)
+
+    def metadata(objects):
+        return objects.select("event_id", F.col("meta.hash").alias("hash"), F.transform("meta.labels", lambda x: x.cast("string")).alias("labels"), "day")
+
+    def drift(batch):
+        return nested.unknown_keys(batch, {"top": F.array("text")}, {"top": ["event_id", "sequence_id", "value", "day", "parts", "notes", "meta"]})
+
+    def parse(lines):
+        schema = "struct<event_id:bigint,sequence_id:bigint,value:double,day:date,parts:array<struct<amount:bigint>>,notes:array<struct<amount:bigint>>,meta:struct<hash:string,labels:array<bigint>>>"
+        return files.read_feed(lines, schema).select("object.*", F.col("value").alias("text"))
+
+    flush = feed.LiveFlush(
+        of.source_path("live", "objects"), FACT, "event_id", "sequence_id", "day", drift=(f"{root}/drift", drift),
+        children=[child("parts"), child("notes"), feed.Child(f"{root}/metadata", META, ["event_id"], metadata)],
+        after=lambda spark, days: of.rebuild(spark, [r[0] for r in days.collect()]),
+    )
+    flush.start(feed.feed_lines(spark, source, 3), parse, folder(spark, "checkpoint"), every=None).awaitTermination()
+    return of, root
+
+
+@query(f"""{_MERGED_LIVE} SELECT m.event_id, m.day, m.source, m.sources, t.name, CAST(o AS INT) AS ordinal, m.event_id * (CASE WHEN m.source = 'a' THEN 100 ELSE 10 END) + o AS amount
+FROM m, (VALUES ('parts', 'a', 1), ('parts', 'a', 2), ('parts', 'live', 1), ('parts', 'live', 2), ('parts', 'live', 3), ('notes', 'a', 1), ('notes', 'live', 1)) t(name, source, o) WHERE t.source = m.source""")
+def live_flush_merged(spark, sf_dir):
+    of, _ = _merged_live(spark, sf_dir)
+    chosen = of.read_merged(spark, "objects").select("event_id", "day", "source", F.array_join("sources", ",").alias("sources"))
+    parts, notes = (of.read_merged(spark, n).select("event_id", F.lit(n).alias("name"), "ordinal", "amount") for n in ("parts", "notes"))
+    return chosen.join(parts.unionByName(notes), "event_id")
+
+
+@query("SELECT event_id, CAST(ts AS DATE) AS day, md5(event_type) AS hash, CAST(user_id AS VARCHAR) AS labels, (SELECT count(*) FROM events WHERE event_id % 4 = 0) AS n_odd FROM events WHERE event_id % 2 = 0")
+def live_flush_metadata(spark, sf_dir):
+    _, root = _merged_live(spark, sf_dir)
+    odd = spark.read.parquet(f"{root}/drift").filter("scope = 'top' AND key = 'odd'").agg(F.sum("documents")).first()[0]
+    meta = files.read_table(spark, f"{root}/metadata", META, "day").withColumn("labels", F.array_join("labels", ","))
+    return meta.withColumn("n_odd", F.lit(odd).cast("long"))
+
+
 @query("SELECT event_id - 1 AS after, event_id + 1 AS before, CAST(1 AS BIGINT) AS missing FROM events WHERE event_id % 7 = 3 AND event_id < (SELECT max(event_id) FROM events)")
 def sequence_gaps(spark, sf_dir):
     holes = _feed(spark, sf_dir).filter("sequence_id % 7 <> 3")  # the gaps to be found

@@ -2,21 +2,45 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .stores import listed, opened
+
+
+def headers(spark: SparkSession, paths: str | list[str], piece: int = 4096) -> DataFrame:
+    """(path, header, n_read): the first line of each file, and how many of its bytes were asked for to find it.
+
+    Compressed files (by their names: bz2, gz, zst, lz4) are read through their codec.
+    """
+
+    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for path in batch["path"]:
+                store, inside = opened(path)
+                with store.open_input_stream(inside, compression="detect", buffer_size=0) as f:
+                    line = b""
+                    while b"\n" not in line and (more := f.read(piece)):
+                        line += more
+                rows.append((path, line.split(b"\n", 1)[0].decode().removeprefix("\ufeff").rstrip("\r"), len(line)))
+            yield pd.DataFrame(rows, columns=["path", "header", "n_read"])
+
+    return listed(spark, paths).select("path").mapInPandas(first, "path string, header string, n_read long")
+
 
 def read_daily_csv(spark: SparkSession, paths: str | list[str], types: Mapping[str, str], optional: Iterable[str] = ()) -> DataFrame:
     """The columns of types, bound by each file's header; optional ones may be absent (then null).
 
-    Headers are read by Spark as the first line of each file, and files with the same header are read together. A
-    header with another column, without a required one, or with a name twice is an error.
+    Headers are read by tasks over the paths, which open each file, compressed ones too, and stop at the first line end; so
+    what they read grows with the number of files only. Files with the same header are read together. A header with
+    another column, without a required one, or with a name twice is an error.
     """
-    first = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), "value")
-    heads = first.filter("at = 0").groupBy("path").agg(F.first("value").alias("header"))
+    heads = headers(spark, paths)
     # One row for each different header (there are a few) and the paths that have it.
     groups = heads.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
     optional, parts = set(optional), []
@@ -35,21 +59,23 @@ def read_daily_csv(spark: SparkSession, paths: str | list[str], types: Mapping[s
     return out
 
 
-def read_json_map(spark: SparkSession, paths: str | list[str], index_paths: str | list[str] | None = None) -> DataFrame:
+def read_json_map(spark: SparkSession, paths: str | list[str], index_paths: str | list[str] | None = None, day: str = r"(\d{4}-?\d{2}-?\d{2})") -> DataFrame:
     """(path, id, doc, hash): each file is one object of id and document; values that are no objects are skipped.
 
-    The index has the same day and holds id and hash; without one, hashes are null.
+    The index holds id and hash, and belongs to the documents of its day, which both have in their paths (the last match
+    of a pattern); without one, hashes are null. A file that is no JSON object fails the job.
     """
-
     def entries(where: str | list[str]) -> DataFrame:
-        files = spark.read.text(where, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file"), "value")
-        return files.select("path", "file", F.explode(F.from_json("value", "map<string,string>")).alias("id", "doc"))
+        files = spark.read.text(where, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
+        whole = F.when(F.ltrim("value").startswith("{"), F.from_json("value", "map<string,string>", {"mode": "FAILFAST"})).otherwise(F.raise_error(F.concat("path", F.lit(" is no JSON object"))).cast("map<string,string>"))
+        return files.select("path", F.try_element_at(F.regexp_extract_all("path", F.lit(day), F.lit(1)), F.lit(-1)).alias("d"), F.explode(whole).alias("id", "doc"))
 
     docs = entries(paths).filter(F.ltrim("doc").startswith("{"))
     if index_paths is None:
         return docs.select("path", "id", "doc", F.lit(None).cast("string").alias("hash"))
-    index = entries(index_paths).select(F.col("file").alias("index_file"), F.col("id").alias("index_id"), F.col("doc").alias("hash"))
-    return docs.join(index, (F.col("file") == F.col("index_file")) & (F.col("id") == F.col("index_id")), "left").select("path", "id", "doc", "hash")
+    plain = lambda c: F.regexp_replace(c, "-", "")
+    index = entries(index_paths).select(plain("d").alias("index_day"), F.col("id").alias("index_id"), F.col("doc").alias("hash"))
+    return docs.join(index, (plain("d") == F.col("index_day")) & (F.col("id") == F.col("index_id")), "left").select("path", "id", "doc", "hash")
 
 
 def parse_documents(df: DataFrame, schema: str | T.StructType, column: str = "doc", mode: str = "FAILFAST") -> DataFrame:

@@ -14,8 +14,8 @@ from ..sources.files import read_feed, read_table
 
 
 def newest_per_key(df: DataFrame, keys: list[str], sequence: str, fetched: str | None = None) -> DataFrame:
-    """One row per key, of the highest sequence; among equal ones the one fetched last."""
-    order = [F.col(sequence).desc(), *([F.col(fetched).desc()] if fetched else [])]
+    """One row per key, of the highest sequence; among equal ones the one fetched last, and then by a digest of the row."""
+    order = [F.col(sequence).desc(), *([F.col(fetched).desc()] if fetched else []), F.xxhash64(*df.columns)]
     return df.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("__n = 1").drop("__n")
 
 
@@ -79,20 +79,25 @@ class LiveFlush:
     process() is a foreachBatch function. A batch may come again after a failure: rows already stored with the same or
     a higher sequence stay, so the table ends up the same. Only the days of the batch are read and rewritten. Children of
     replaced objects go and the new object's come; they are written before the objects, so that a batch that failed in
-    between is done anew as a whole. ``after`` gets the touched days, for instance to merge them.
+    between is done anew as a whole. ``after`` gets the touched days, for instance to merge them (``layers.rebuild``).
+
+    drift: a table of what batches hold beyond the contract, and what gives it as (scope, key, documents) of a batch; a
+    batch that comes again replaces its own report. Skipped objects are counted by batch for the same reason.
     """
 
-    def __init__(self, path: str, schema: T.StructType, key: str, sequence: str, day: str, fetched: str | None = None, after: Callable[[SparkSession, DataFrame], None] | None = None, children: Sequence[Child] = ()) -> None:
-        self.children = children
+    def __init__(self, path: str, schema: T.StructType, key: str, sequence: str, day: str, fetched: str | None = None, after: Callable[[SparkSession, DataFrame], None] | None = None, children: Sequence[Child] = (), drift: tuple[str, Callable[[DataFrame], DataFrame]] | None = None) -> None:
+        self.children, self.drift = children, drift
         self.path, self.schema, self.key, self.sequence, self.day, self.fetched, self.after = path, schema, key, sequence, day, fetched, after
-        self.skipped = 0
+        self.skipped_by_batch: dict[int, int] = {}
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         marked = split_skipped(batch, [self.key], self.day).persist()
         try:
             counts = marked.agg(F.count_if(~F.col("usable")), F.count_if("usable")).first()
-            self.skipped += counts[0]
+            self.skipped_by_batch[batch_id] = counts[0]
+            if self.drift:
+                self.drift[1](marked).write.mode("overwrite").parquet(f"{self.drift[0]}/batch={batch_id}")
             if not counts[1]:
                 return
             newest = newest_per_key(marked.filter("usable"), [self.key], self.sequence, self.fetched)
@@ -111,6 +116,10 @@ class LiveFlush:
         finally:
             marked.unpersist()
 
+    @property
+    def skipped(self) -> int:
+        return sum(self.skipped_by_batch.values())
+
     def stored(self, spark: SparkSession) -> DataFrame:
         return read_table(spark, self.path, self.schema, self.day)
 

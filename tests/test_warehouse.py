@@ -406,3 +406,72 @@ def test_a_lost_row_stops_the_day(spark, tmp_path):
     assert n == 3 and staged.count() == 3
     with pytest.raises(ValueError, match="2 rows from 3 documents"):
         sinks.stage_counted(docs, lambda df: parse(df).filter("id IS NOT NULL"), f"{tmp_path}/b")
+
+
+def test_headers_are_read_and_no_more(spark, tmp_path):
+    import bz2
+    import gzip
+
+    body = "a,b,c\n" + "".join(f"{i},{i * 7919 % 1000},{i * 104729 % 1000}\n" for i in range(200_000))
+    (tmp_path / "plain.csv").write_text(body)
+    (tmp_path / "one.csv.bz2").write_bytes(bz2.compress(body.encode()))
+    (tmp_path / "two.csv.gz").write_bytes(gzip.compress(body.encode()))
+    (tmp_path / "long.csv").write_text(",".join(f"column{i}" for i in range(2000)))
+    got = {r.path.rsplit("/", 1)[1]: r for r in files.headers(spark, str(tmp_path)).collect()}
+    assert all(got[n].header == "a,b,c" and got[n].n_read <= 4096 for n in ("plain.csv", "one.csv.bz2", "two.csv.gz"))
+    assert len(got["long.csv"].header.split(",")) == 2000
+
+
+def test_maps_join_their_days_index(spark, tmp_path):
+    for name, text in (("docs/docs-2024-01-01.json", '{"1": {"x": 1}, "2": {"x": 2}, "n": 5}'), ("docs/docs-2024-01-02.json", '{"1": {"x": 3}}'), ("index/20240101.json", '{"1": "h1", "2": "h2"}'), ("index/20240103.json", '{"1": "h3"}')):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(text)
+    got = sorted((r.id, r.doc, r.hash or "") for r in files.read_json_map(spark, f"{tmp_path}/docs", f"{tmp_path}/index").collect())
+    assert got == [("1", '{"x":1}', "h1"), ("1", '{"x":3}', ""), ("2", '{"x":2}', "h2")]
+    for bad in ("[1]", "5", '{"1": '):
+        (tmp_path / "docs/bad-2024-01-05.json").write_text(bad)
+        with pytest.raises(Exception):
+            files.read_json_map(spark, f"{tmp_path}/docs").collect()
+
+
+def test_third_level_fails_in_the_parse(spark):
+    doc = "struct<id:bigint,lines:array<struct<part:bigint,extra:string>>>"
+    make = lambda extra: files.parse_documents(spark.createDataFrame([('{"id":1,"lines":[{"part":1,"extra":%s},{"part":2}]}' % extra,)], "doc string"), doc)
+    run = lambda extra: [tuple(r) for r in nested.explode_two_levels(make(extra), "doc.lines", ["doc.id"], {"part": "part"}, "extra", "array<struct<part:bigint,extra:string>>").collect()]
+    assert run('[{"part":5,"extra":[]},{"part":6}]') == [(1, None, 1, 1), (1, 1, 1, 5), (1, 1, 2, 6), (1, None, 2, 2)]
+    with pytest.raises(Exception, match="third level"):
+        run('[{"part":5,"extra":[{"part":7}]}]')
+
+
+def test_parents_of_refused_and_closed_results(spark):
+    stored = spark.createDataFrame([(1, 5, 50, "x", False), (2, 7, None, None, True), (3, 5, 50, "x", False)], "id long, group_id long, parent_id long, title string, deleted boolean")
+    results = spark.createDataFrame([(1, False, 5, 60, "x"), (2, True, 7, 61, None), (3, True, 7, 62, None), (4, True, 7, 63, None), (1, True, 6, 64, None), (9, True, 6, 50, None)], "id long, valid boolean, group_id long, parent_id long, title string")
+    classified = entities.classify_affiliation(results, stored, "id", 7)
+    known = spark.createDataFrame([(50,)], "parent_id long")
+    assert sorted(r[0] for r in entities.unknown_parents(classified, known, closed_group=7).collect()) == [63, 64]
+
+
+def test_a_merged_day_follows_its_sources(spark, tmp_path):
+    from daymill.operators.layers import Layers
+
+    fact = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.StringType()), T.StructField("day", T.DateType())])
+    part = T.StructType([T.StructField("id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("day", T.DateType())])
+    of = Layers(str(tmp_path), ["a", "live"], "id", fact, {"parts": (part, ["id", "n"])})
+    days = [dt.date(2024, 1, 1), dt.date(2024, 1, 2)]
+
+    def put(source, table, schema, rows, over=None):
+        sinks.write_days(spark.createDataFrame(rows, schema), of.source_path(source, table), schema, "day", ["id"], over)
+
+    put("a", "objects", fact, [(1, "a1", days[0]), (2, "a2", days[1])])
+    put("a", "parts", part, [(1, 10, days[0]), (1, 11, days[0]), (2, 20, days[1])])
+    put("live", "objects", fact, [(1, "l1", days[0]), (3, "l3", days[0])])
+    put("live", "parts", part, [(1, 90, days[0]), (3, 91, days[0])])
+    of.rebuild(spark, days)
+    read = lambda t, *c: sorted(tuple(r) for r in of.read_merged(spark, t).select(*c).collect())
+    assert read("objects", "id", "v", "source") == [(1, "a1", "a"), (2, "a2", "a"), (3, "l3", "live")]
+    assert read("parts", "id", "n") == [(1, 10), (1, 11), (2, 20), (3, 91)]
+    put("a", "objects", fact, [], days[:1])
+    put("a", "parts", part, [], days[:1])
+    of.rebuild(spark, days[:1])
+    assert read("objects", "id", "v", "source") == [(1, "l1", "live"), (2, "a2", "a"), (3, "l3", "live")]
+    assert read("parts", "id", "n") == [(1, 90), (2, 20), (3, 91)]
