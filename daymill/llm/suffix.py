@@ -307,7 +307,7 @@ def _removed(text: bytes, own: list[dict]) -> np.ndarray:
 
 
 def _run(docs: DataFrame, id_col: str, text_col: str, window: int, kept: str, render: Callable[[bytes], object], whole: Column) -> DataFrame:
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, 250, 2)
     text = text_or_empty(text_col)
     key = F.substring(F.unhex(F.sha2(text, 256)), 1, 16)
     named = docs.select(F.col(id_col).alias("id"), key.alias("key"), text.cast("binary").alias("text"))
