@@ -72,12 +72,21 @@ CSV_TYPES = {"date": "date", "region_id": "bigint", "type_id": "bigint", "averag
 @query("""SELECT CAST(o_orderdate AS DATE) AS date, o_custkey AS region_id, o_orderkey AS type_id, o_totalprice AS average, o_totalprice + 1 AS highest, o_totalprice - 1 AS lowest,
   o_orderkey % 100 AS volume, o_orderkey % 7 AS order_count, CASE WHEN o_orderkey % 2 = 1 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS modified FROM orders""")
 def src_csv_by_name(spark, sf_dir):
+    return read_csv(spark, land_csv(spark, sf_dir))
+
+
+def land_csv(spark, sf_dir):
+    """Orders as bz2 files in two column orders; gives their folder."""
     o = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("date"), F.col("o_custkey").alias("region_id"), F.col("o_orderkey").alias("type_id"), F.col("o_totalprice").alias("average"), (F.col("o_totalprice") + 1).alias("highest"), (F.col("o_totalprice") - 1).alias("lowest"), (F.col("o_orderkey") % 100).alias("volume"), (F.col("o_orderkey") % 7).alias("order_count"), F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("http_last_modified"))
     path = folder(spark, "csv")
     older = ["date", "region_id", "type_id", "average", "lowest", "highest", "volume", "order_count"]
     newer = ["average", "date", "highest", "lowest", "order_count", "volume", "http_last_modified", "region_id", "type_id"]
     o.filter("type_id % 2 = 0").select(older).write.csv(f"{path}/older", header=True, compression="bzip2")
     o.filter("type_id % 2 = 1").select(newer).write.csv(f"{path}/newer", header=True, compression="bzip2")
+    return path
+
+
+def read_csv(spark, path):
     read = files.read_daily_csv(spark, [f"{path}/older", f"{path}/newer"], CSV_TYPES, ["http_last_modified"])
     return rows.market_rows(read).withColumn("modified", F.date_format("http_last_modified", "yyyy-MM-dd HH:mm:ss")).drop("http_last_modified")
 
@@ -234,7 +243,11 @@ def explode_children(spark, sf_dir):
 @query(f"""WITH {LINES_SQL} SELECT l_orderkey AS id, CASE WHEN rn % 3 <> 1 THEN CAST((rn + 2) // 3 AS INT) END AS parent_ordinal, CAST(CASE WHEN rn % 3 = 1 THEN (rn + 2) // 3 ELSE (rn - 1) % 3 END AS INT) AS ordinal,
   l_partkey AS part, l_suppkey AS supp, l_quantity AS qty FROM l WHERE l_orderkey IN (SELECT o_orderkey FROM orders)""")
 def explode_nested(spark, sf_dir):
-    return nested.explode_two_levels(_parsed(spark, sf_dir), "doc.lines", ["doc.id"], {"part": "part", "supp": "supp", "qty": "qty"}, "extra", f"array<{LINE}>".replace(">>", ",extra:string>>"))
+    return explode_documents(documents(spark, sf_dir))
+
+
+def explode_documents(docs):
+    return nested.explode_two_levels(files.parse_documents(docs, DOCUMENT), "doc.lines", ["doc.id"], {"part": "part", "supp": "supp", "qty": "qty"}, "extra", f"array<{LINE}>".replace(">>", ",extra:string>>"))
 
 
 @query("SELECT o_orderkey AS id, CAST(2 AS INT) AS violations FROM orders WHERE o_orderkey % 50 = 0")
