@@ -14,6 +14,7 @@ A null url, or one without ``://``, has empty host and path and fits no rule. Ev
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 from collections.abc import Iterable, Iterator
 
@@ -48,6 +49,9 @@ BLOCKED_HOSTS = (
 )
 
 
+_DOT = re.compile(r"\.")
+
+
 def _entry(host: str, path: str) -> bytes:
     return f"{host}\0{path}".encode("utf-8", "surrogatepass")
 
@@ -56,9 +60,9 @@ class Digests:
     """A file of entries in the order of their digests: keys, what each is, where its string is, strings."""
 
     def __init__(self, path: str) -> None:
-        n, lengths = np.fromfile(path, np.int64, 2)
-        self.lengths = np.memmap(path, np.int64, "r", 16, (lengths,)).tolist()
-        at = 16 + 8 * lengths
+        n, lengths, self.longest = np.fromfile(path, np.int64, 3).tolist()
+        self.lengths = np.memmap(path, np.int64, "r", 24, (lengths,)).tolist()
+        at = 24 + 8 * lengths
         self.keys = np.memmap(path, np.uint64, "r", at, (n,)) if n else np.zeros(0, np.uint64)
         self.ends = np.memmap(path, np.int64, "r", at + 8 * n, (n + 1,))
         self.kinds = np.memmap(path, np.uint8, "r", at + 16 * n + 8, (n,)) if n else np.zeros(0, np.uint8)
@@ -74,8 +78,9 @@ class Digests:
         if sum(len(k) + 17 for _, k, _ in rows) > MOST_BYTES:
             raise ValueError(f"the list is over {MOST_BYTES} bytes; split it")
         lengths = sorted({n for _, n in entries.values()})
+        longest = max((len(k.decode("utf-8", "surrogatepass").split("\0", 1)[0]) for k in entries), default=0)
         with open(path, "wb") as f:
-            np.array([len(rows), len(lengths), *lengths], np.int64).tofile(f)
+            np.array([len(rows), len(lengths), longest, *lengths], np.int64).tofile(f)
             np.array([r[0] for r in rows], np.uint64).tofile(f)
             np.cumsum([0, *(len(r[1]) for r in rows)], dtype=np.int64).tofile(f)
             np.array([r[2] for r in rows], np.uint8).tofile(f)
@@ -101,9 +106,11 @@ class Digests:
         """(rule, verdict) of each (host, path)."""
         strings, owners = [], []
         for i, (host, path) in enumerate(urls):
-            labels = host.split(".")
-            for k in range(len(labels)):
-                suffix = ".".join(labels[k:])
+            # a suffix that is longer than every listed host can't be one, so long hosts cost no more than their end
+            first = max(0, len(host) - self.longest)
+            places = [m.end() for m in _DOT.finditer(host, first)]
+            for k in [first, *places] if not first or host[first - 1] == "." else places:
+                suffix = host[k:]
                 for n in self.lengths:
                     if n <= len(path):
                         strings.append(_entry(suffix, path[:n]))

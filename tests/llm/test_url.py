@@ -45,3 +45,16 @@ def test_empty_list(tmp_path):
     urlfilter.Digests.write(str(tmp_path / "d"), [], [])
     assert urlfilter.Digests(str(tmp_path / "d")).judge_all([("a.b", "/")]) == [(None, "allow")]
     assert np.array_equal(urlfilter.Digests(str(tmp_path / "d")).find([]), [])
+
+
+def test_hosts_of_many_labels_take_linear_time(tmp_path):
+    import time
+
+    rules, blocked = [*urlfilter.RULES, ("a.a.a.example.org", "/", "block")], ["x.y.example.net"]
+    urlfilter.Digests.write(str(tmp_path / "d"), rules, blocked)
+    digests = urlfilter.Digests(str(tmp_path / "d"))
+    hosts = ["a." * 20_000 + "example.org", "b" * 40_000 + ".example.org", "." * 40_000 + "org", "a." * 20_000 + "x.y.example.net", "a." * 20_000 + "xx.y.example.net", "xa.a.a.example.org", "..", "y.example.net"]
+    began = time.time()
+    found = digests.judge_all([(h, "/es/") for h in hosts])
+    assert time.time() - began < 1
+    assert found == [brute(f"http://{h}/es/", rules, blocked)[2:] for h in hosts]
