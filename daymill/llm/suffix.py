@@ -271,14 +271,14 @@ def _spans(named: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
             # one row for each text: rows of one text with other ids are spread over the join and match nothing
             touched = shared.select("key").distinct()
             firsts = named.select("key", "id").join(touched, "key", "left_semi").groupBy("key").agg(F.min("id").alias("id"))
-            firsts = materialise(firsts.select(F.col("key").alias("of"), F.col("id").alias("first")), "suffix-firsts")
+            firsts = firsts.select(F.col("key").alias("of"), F.col("id").alias("first"))
             rows = named.join(firsts, (F.col("key") == F.col("of")) & F.col("id").eqNullSafe(F.col("first")), "left_semi")
             texts = materialise(rows.select("key", "text"), "suffix-texts")
         cold.append(groups.filter(F.col("kinds") <= MOST) if level < len(LEVELS) else groups)
         all_shared.append(shared.select("key", "h", "g", "at"))
         if level == len(LEVELS):
             break
-        hot = materialise(groups.filter(F.col("kinds") > MOST).select("h").distinct(), f"suffix-hot-{level}")
+        hot = groups.filter(F.col("kinds") > MOST).select("h").distinct()
         if hot.isEmpty():
             break
         again = shared.join(hot, "h", "left_semi").groupBy("key").agg(F.collect_list(F.struct("off", "size", "at")).alias("own"))
@@ -287,12 +287,12 @@ def _spans(named: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
     groups = cold[0]
     for more in cold[1:]:
         groups = groups.unionByName(more)
-    groups = materialise(groups.drop("kinds"), "suffix-groups")
+    groups = groups.drop("kinds")
     buckets = (groups.agg(F.sum("size")).first()[0] or 0) // BUCKET_BYTES + 1
     wanted = groups.groupBy("key").agg(F.collect_list(F.struct("h", "g", "times", "at", "size")).alias("own"))
     cuts = texts.join(wanted, "key").select("text", "own").mapInArrow(cut_out, "h long, g long, times long, piece binary")
     bucket = F.pmod(F.xxhash64("h"), F.lit(buckets)).alias("bucket")
-    spans = materialise(cuts.withColumn("bucket", bucket).groupBy("bucket").applyInPandas(sort, "h long, g long, spans array<int>"), "suffix-spans")
+    spans = cuts.withColumn("bucket", bucket).groupBy("bucket").applyInPandas(sort, "h long, g long, spans array<int>")
     shared = all_shared[0]
     for more in all_shared[1:]:
         shared = shared.unionByName(more)
@@ -324,7 +324,7 @@ def _run(docs: DataFrame, id_col: str, text_col: str, window: int, kept: str, re
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["of", "n_removed", "n_spans", "rest"])
 
     done = texts.join(spans, "key").select("key", "text", "own").mapInArrow(cut, f"of binary, n_removed long, n_spans long, rest {kept.split()[1]}")
-    done = materialise(done, "suffix-cut").dropDuplicates(["of"])
+    done = done.dropDuplicates(["of"])
     every = named.select("id", "key", F.length("text").cast("long").alias("n_bytes"), whole.alias("whole"))
     count = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
     out = every.join(done, F.col("key") == F.col("of"), "left")
