@@ -67,3 +67,33 @@ def test_one_class_or_none(spark, toxic):
     assert toxicity.report(docs, labels).select("score").distinct().count() == 1
     none = docs.filter(F.lit(False))
     assert toxicity.report(none, labels.filter(F.lit(False))).count() == 0
+
+
+def plain_score(model, text):
+    """One text's score, window by window with one compressor each, in plain Python."""
+    import math
+
+    import zstandard
+
+    def size(dictionary, window):
+        params = zstandard.ZstdCompressionParameters.from_level(toxicity.LEVEL, min_match=4, write_content_size=False, write_checksum=False, write_dict_id=False)
+        held = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        return len(zstandard.ZstdCompressor(dict_data=held, compression_params=params).compress(window))
+
+    w = [x.lower() for x in text.encode().split()]
+    parts = [b" " + b" ".join(w[i : i + 12]) + b" " for i in range(0, len(w), 12)] or [b" "]
+    ahead = [size(model.ordinary, p) - size(model.toxic, p) for p in parts]
+    x = [1.0, max(ahead), *(math.log1p(sum(a >= t for a in ahead)) for t in toxicity.THRESHOLDS), math.log1p(len(parts))]
+    total = sum((v - c) / s * k for v, c, s, k in zip(x, model.center, model.scale, model.weights, strict=True))
+    return 1 / (1 + math.exp(-max(-30, min(30, total))))
+
+
+def test_scores_equal_a_plain_computation(spark):
+    rows, labels = made(300, seed=4)
+    rows += [(1000, "", "x"), (1001, None, "x"), (1002, "É " * 50 + "nincompoop", "x"), (1003, "one", "x")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    model = toxicity.learn(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert model.center and model.ordinary != model.toxic
+    got = {r.doc_id: r.score for r in toxicity.score(docs.select("doc_id", "text"), model).collect()}
+    for i, text, _ in rows[::7] + rows[-4:]:
+        assert got[i] == pytest.approx(plain_score(model, text or ""), abs=1e-12)
