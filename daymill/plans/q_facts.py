@@ -592,8 +592,9 @@ def live_gaps(spark, sf_dir):
     e = table(spark, sf_dir, "events").filter("event_id % 7 <> 3").select(F.col("event_id").alias("s"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("t"))
     arrival = F.col("s") + F.when(F.col("s") % 11 == 0, 5000).otherwise(0)  # some come much later
     landed = e.withColumn("a", F.explode(F.when(F.col("s") % 5 == 0, F.array(arrival, arrival + 2000)).otherwise(F.array(arrival))))
-    landed.repartitionByRange(6, "a").select("s", "t").write.json(source)
-    stream = spark.readStream.schema("s long, t timestamp").option("maxFilesPerTrigger", 1).json(source)
+    k = 1 + e.count() // 2_000_000  # so that no file grows with the table
+    landed.repartitionByRange(6 * k, "a").select("s", "t").write.json(source)
+    stream = spark.readStream.schema("s long, t timestamp").option("maxFilesPerTrigger", k).json(source)
     gaps.start(gaps.gap_stream(stream, "s", "t"), path, folder(spark, "gap-checkpoint"), every=None).awaitTermination()
     told = spark.read.schema(gaps.TOLD).parquet(path)
     return gaps.open_gaps(told).select("after", "before", "missing")

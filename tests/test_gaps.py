@@ -82,3 +82,34 @@ def test_runs_join():
         state = gaps.joined(*(np.concatenate(x) for x in zip(state, gaps.runs(s, t))))
         groups = [[*g] for _, g in itertools.groupby(enumerate(sorted(seen)), lambda x: x[1] - x[0])]
         assert state[0].tolist() == [g[0][1] for g in groups] and state[1].tolist() == [g[-1][1] for g in groups]
+
+
+def test_ranges_have_states_of_their_own(spark, tmp_path):
+    """What a state holds is bounded by a range, also where gaps go over the ends of ranges and over empty ones."""
+    rnd = random.Random(5)
+    objects = [(s, at(s * 3 + rnd.randrange(5)), rnd.choice("xy")) for s in range(-60, 300) if rnd.random() > 0.3 and not 70 < s < 123]
+    late = [o for o in objects if rnd.random() < 0.3]
+    first = [o for o in objects if o not in late]
+    for i, rows in enumerate([first[:150], first[150:], late + first[:30]]):
+        land(spark, tmp_path / "in", i, rows)
+        stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).json(f"{tmp_path}/in/*")
+        gaps.start(gaps.gap_stream(stream, "s", "t", feed="name", width=8), f"{tmp_path}/out", f"{tmp_path}/checkpoint", every=None).awaitTermination()
+    told = sorted(tuple(r) for r in gaps.open_gaps(spark.read.schema(gaps.TOLD).parquet(f"{tmp_path}/out")).collect())
+    now, want = max(t for _, t, _ in objects), []
+    for name in "xy":
+        own = sorted((s, t) for s, t, n in objects if n == name)
+        want += [(name, a, b, b - a - 1) for (a, _), (b, t) in itertools.pairwise(own) if b - a > 1 and t <= now - dt.timedelta(seconds=120)]
+    assert told == sorted(want) and any(b - a > 16 for _, a, b, _ in want)
+    state = spark.read.format("statestore").option("path", f"{tmp_path}/checkpoint").option("stateVarName", "runs").load()
+    sizes = [len(r["value"]["first"]) for r in state.select("value").collect()]
+    assert len(sizes) > 40 and sorted(sizes)[-3] <= 4
+
+
+def test_ends_of_ranges():
+    rnd = np.random.default_rng(4)
+    s, t = rnd.integers(-90, 200, 60), rnd.integers(0, 1000, 60)
+    first, last, at_ms = gaps.ends(*gaps.runs(s, t, 16), 16)
+    of = {}
+    for a, b in zip(s.tolist(), t.tolist()):
+        of.setdefault(a // 16, []).append((a, b))
+    assert [*zip(first.tolist(), last.tolist(), at_ms.tolist())] == [(min(of[r])[0], max(of[r])[0], min(of[r])[1]) for r in sorted(of)]
