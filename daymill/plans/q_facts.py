@@ -116,14 +116,12 @@ def src_json_array_any(spark, sf_dir):
 
 @query("SELECT doc_id, lang, md5(text) AS digest FROM documents")
 def src_json_array_split(spark, sf_dir):
-    """One array in one file, with quotes, escapes and brackets in its texts, read by as many tasks as Spark splits it into."""
+    """An array of up to 50,000 records in a file, with quotes, escapes and brackets in its texts, read by as many tasks as Spark splits it into."""
     path = folder(spark, "one-array")
     d = table(spark, sf_dir, "documents")
     odd = F.concat(F.lit('}"],[\\{'), F.col("text"))
-    record = F.concat(F.lit("\n  "), F.to_json(F.struct("doc_id", "lang", odd.alias("text"))), F.lit(","))
-    ends = spark.createDataFrame([(0, "["), (2, '{"end": true}\n]')], "k int, value string")
-    d.select(F.lit(1).alias("k"), record.alias("value")).unionByName(ends).repartition(1).sortWithinPartitions("k").select("value").write.text(path)
-    found = json_arrays.read_json_array(spark, path, "doc_id bigint, lang string, text string, end boolean").filter("end IS NULL")
+    json_arrays.write_arrays(d.select(F.to_json(F.struct("doc_id", "lang", odd.alias("text")))), path, 1 + d.count() // 50_000)
+    found = json_arrays.read_json_array(spark, path, "doc_id bigint, lang string, text string")
     return found.select("doc_id", "lang", F.md5(F.substring("text", 8, 1 << 30)).alias("digest"))
 
 

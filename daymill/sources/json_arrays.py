@@ -6,7 +6,8 @@ guesses (outside a string, inside one), the parity of its quotes, its change of
 over a file's blocks then fix every block's true state. Known these, a second scan cuts the records where the depth
 returns to 1. A record that crosses borders comes as pieces, which a small shuffle puts together.
 
-The blocks' states go through the driver, one row for each block, as Spark's own list of splits does.
+The blocks' states go through the driver, one row for each block, as Spark's own list of splits does. All blocks are
+scanned in one job. Only the states of files of several blocks go out to tasks: a file that is one block starts outside.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BRACE = b"}"
+#: About so much text is looked at at once: its places take many times its bytes.
+RUN = 1 << 20
 _STATES = "path string, start long, odd boolean, outside_change long, outside_least long, inside_change long, inside_least long"
 _PIECES = "path string, opened long, start long, whole boolean, value string"
 #: JSON's white space and the comma between records.
@@ -36,6 +39,10 @@ class State:
     last: bool
 
 
+#: The state of a file's only block.
+ALONE = State(False, 0, -1, True)
+
+
 def structure(text: np.ndarray, inside: bool) -> tuple[np.ndarray, np.ndarray, int]:
     """(change of depth by each byte, depth after it less the depth before all, number of quotes) from a start not amid an escape."""
     slash = text == 92
@@ -56,14 +63,19 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, bytes
     held: tuple[str, int, bytes] | None = None
     for batch in batches:
         own: list[bytes] = []
+        size = 0
         for path, start, value in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
             if held:
                 if held[:2] == (path, start):
                     own.append(held[2] + BRACE)
+                    size += len(own[-1])
+                    if size >= RUN:
+                        yield (*held[:2], b"".join(own), False)
+                        own, size = [], 0
                 else:
                     if own:
                         yield (*held[:2], b"".join(own), False)
-                    own = []
+                    own, size = [], 0
                     yield (*held, True)
             held = (path, start, value)
         if own:
@@ -93,7 +105,7 @@ def _scan_states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def block_states(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, int], State]:
     """The state at the start of each block of the files."""
     rows: dict[str, list] = {}
-    for r in _fragments(spark, path).mapInArrow(_scan_states, _STATES).toLocalIterator():
+    for r in _fragments(spark, path).mapInArrow(_scan_states, _STATES).collect():
         rows.setdefault(r["path"], []).append(r)
     states = {}
     for name, blocks in rows.items():
@@ -147,6 +159,7 @@ def read_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     unclosed = [name for (name, _), s in states.items() if s.last and (s.depth < 0 or s.depth == 0 and s.opened >= 0)]
     if unclosed:
         raise ValueError(f"{unclosed[0]} is no array of records: it goes on after its end")
+    states = {at: s for at, s in states.items() if s != ALONE}
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at: tuple[str, int] | None = None
@@ -158,7 +171,7 @@ def read_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
         for name, start, text, ends in _blocks(batches):
             if at != (name, start):
                 at, held = (name, start), []
-                state = states[at]
+                state = states.get(at, ALONE)
                 opened = state.opened if state.depth >= 2 else -1
             if ends and not state.last:
                 text += BRACE
@@ -190,3 +203,20 @@ def read_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def read_json_array(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
     """The records of top-level JSON arrays in any layout, by a fixed schema; a record that doesn't parse fails the job."""
     return read_records(spark, path).select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
+
+
+def write_arrays(records: DataFrame, path: str, files: int) -> None:
+    """Write JSON texts, the only column of records, as top-level arrays: so many files, each by a task of its own."""
+
+    def enclose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = lambda lines: pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+        yield of(["["])
+        held: list[str] = []
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                held += batch.column(0).slice(at, 500).to_pylist()
+                yield of([f"  {r}," for r in held[:-1]])
+                del held[:-1]
+        yield of([*(f"  {r}" for r in held), "]"])
+
+    records.repartition(files).mapInArrow(enclose, "value string").write.text(path)

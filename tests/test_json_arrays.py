@@ -3,6 +3,7 @@
 import json
 import random
 
+import pyarrow as pa
 import pytest
 
 from daymill.sources import json_arrays
@@ -55,3 +56,37 @@ def test_what_is_no_array_of_records_fails(spark, tmp_path, text):
     (tmp_path / "a.json").write_text(text)
     with pytest.raises(Exception):
         json_arrays.read_json_array(spark, str(tmp_path), SCHEMA).collect()
+
+
+def test_states_in_one_job_and_only_where_needed(spark, tmp_path):
+    """The scan for states was a job for each task, and the states of all files went out to every task."""
+    data = records(400)
+    json_arrays.write_arrays(spark.createDataFrame([(json.dumps(r, indent=2),) for r in data], "value string"), str(tmp_path / "in"), 40)
+    assert len([*(tmp_path / "in").glob("part-*")]) == 40
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000b")
+    spark.sparkContext.setJobGroup("states", "states")
+    try:
+        assert len(json_arrays.block_states(spark, str(tmp_path / "in"))) >= 40
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("states")) <= 2
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert as_rows(json_arrays.read_json_array(spark, str(tmp_path / "in"), SCHEMA)) == sorted((r["id"], r["text"], [(x["x"], x["t"]) for x in r["inner"]]) for r in data)
+
+
+def test_arrays_are_written_by_several_tasks(spark, tmp_path):
+    texts = [json.dumps({"id": i, "t": '}"],['}) for i in range(57)]
+    json_arrays.write_arrays(spark.createDataFrame([(t,) for t in texts], "value string"), str(tmp_path / "in"), 5)
+    parts = [json.loads(p.read_text()) for p in (tmp_path / "in").glob("part-*")]
+    assert len(parts) == 5 and sorted(r["id"] for p in parts for r in p) == [*range(57)]
+    json_arrays.write_arrays(spark.createDataFrame([], "value string"), str(tmp_path / "none"), 2)
+    assert all(json.loads(p.read_text()) == [] for p in (tmp_path / "none").glob("part-*"))
+
+
+def test_runs_of_fragments_are_bounded(monkeypatch):
+    """A whole Arrow batch was one run, and its places took up to a gigabyte in a worker."""
+    monkeypatch.setattr(json_arrays, "RUN", 50)
+    batch = pa.RecordBatch.from_pydict({"path": ["f"] * 100, "start": [0] * 100, "value": [b'{"a": 1'] * 100})
+    runs = [*json_arrays._blocks(iter([batch]))]
+    assert max(len(text) for _, _, text, _ in runs) < 60 and [r[3] for r in runs] == [False] * (len(runs) - 1) + [True]
+    assert b"".join(text for _, _, text, _ in runs) == b'{"a": 1}' * 99 + b'{"a": 1'
