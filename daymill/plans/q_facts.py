@@ -108,9 +108,9 @@ def src_json_map(spark, sf_dir):
 def src_json_array_any(spark, sf_dir):
     """Arrays whose records run over several lines, several to a file."""
     path = folder(spark, "arrays")
-    record = F.replace(F.to_json(F.struct("c_custkey", "c_name", "c_nationkey")), F.lit(","), F.lit(",\n  "))
-    body = table(spark, sf_dir, "customer").groupBy(F.expr("c_custkey div 100").alias("k")).agg(F.array_join(F.collect_list(record), ",").alias("r"))
-    body.select("k", F.concat(F.lit("[\n"), "r", F.lit("]")).alias("value")).repartition("k").write.partitionBy("k").option("lineSep", "\n").text(path)
+    c = table(spark, sf_dir, "customer")
+    record = F.to_json(F.struct("c_custkey", "c_name", "c_nationkey"), {"pretty": "true"})
+    json_arrays.write_arrays(c.select(record), path, min(400, 1 + c.count() // 100))
     return json_arrays.read_json_array(spark, path, "c_custkey bigint, c_name string, c_nationkey bigint")
 
 
