@@ -2,7 +2,8 @@
 
 1. toxicity: documents that the compression-distance classifier rejects go.
 2. near_dedup: of each group of near copies (Jaccard similarity of five-word shingles 0.8 or more) the document with the
-   smallest id stays.
+   smallest id stays. Candidates are texts whose SimHash fingerprints differ in two bits at most, by Golay keys, and texts
+   that share a key of their shingles' prefixes; all are verified by their whole sets.
 3. secrets: secrets in the texts are replaced by the names of their kinds.
 4. mixing: sources are mixed to temperature weights; documents of rare sources are repeated, none is dropped.
 5. bpe: texts become token ids; the ids are decoded again, and the decoded bytes' digest stands beside them.

@@ -42,15 +42,21 @@ def shingles(text: str, words: int) -> list[bytes]:
 
 def fingerprint(text: str, words: int = 3) -> int:
     """The SimHash of a text as an unsigned number; a bit is 1 if set in over half the shingles' hashes."""
+    return fingerprint_of(hashed(text, words))
+
+
+def hashed(text: str, words: int) -> np.ndarray:
+    """The hashes of a text's shingles, repeats included."""
     found = shingles(text, words)
-    if not found:
-        return 0
+    return np.fromiter(map(xxhash.xxh64_intdigest, found, repeat(42)), np.uint64, len(found))
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """The SimHash of so many hashes; zero of none."""
     ones = np.zeros(64, np.int64)
-    for at in range(0, len(found), 1 << 16):
-        part = found[at : at + (1 << 16)]
-        h = np.fromiter(map(xxhash.xxh64_intdigest, part, repeat(42)), np.uint64, len(part))
-        ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(found), bitorder="little").view(np.uint64)[0])
+    for at in range(0, len(hashes), 1 << 16):
+        ones += np.unpackbits(hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
 def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

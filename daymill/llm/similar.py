@@ -1,7 +1,9 @@
 """Near copies by exact Jaccard similarity of word shingles.
 
 Two documents link if the sets of their five-word shingles have a Jaccard similarity of 0.8 or more; no such pair is
-left out. Each set is put in one order that all sets share: frequent shingles of a sample last, otherwise by hash. If two
+left out. Candidates come from SimHash first: texts whose fingerprints differ in two bits at most, found by the Golay keys
+of ``simhash``. Fingerprints of similar texts mostly differ in more bits, so prefixes of the sets give the other
+candidates, and every candidate is verified by the whole sets. For that, each set is put in one order that all sets share: frequent shingles of a sample last, otherwise by hash. If two
 sets of that similarity have n and m members, they share one among the first n - ceil(0.8 n) + 1 and m - ceil(0.8 m) + 1
 of this order, so only these are keys. Pairs that share a key are first compared by bitmaps, whose bits are the parities
 of the members' counts by hash: two sets differ in at least as many members as their bitmaps in bits, so a pair whose
@@ -31,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._common import materialise, small_batches, text_or_empty
-from .simhash import components, one_of_each, shingles
+from .simhash import components, fingerprint_of, hashed, links, one_of_each, shingles
 
 #: The least similarity as a fraction, and the frequent shingles that are put last: of one in SAMPLE texts, at most FREQUENT.
 SHARE = (4, 5)
@@ -100,18 +102,20 @@ def _frequent(docs: DataFrame, words: int, text_col: str) -> tuple[np.ndarray, n
 
 
 def _nodes(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, whole, node, n, keys, bits) of every row; whole and node are digests of the text and its set, n the set's size."""
+    """(doc_id, whole, node, n, keys, bits, fp) of every row; whole and node are digests of the text and its set, n the set's size."""
     frequent, ranks = _frequent(docs, words, text_col)
 
-    @F.pandas_udf("node long, n int, keys array<long>, bits array<long>")
+    @F.pandas_udf("node long, n int, keys array<long>, bits array<long>, fp long")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             known: dict[str, tuple] = {}
             for t in texts:
                 if t not in known:
-                    found = shingle_set(t, words)
-                    known[t] = (_digest(found), len(found), keys(found, frequent, ranks), bitmap(found))
-            yield pd.DataFrame([known[t] for t in texts], columns=["node", "n", "keys", "bits"])
+                    hashes = hashed(t, words)
+                    found = np.unique(hashes.view(np.int64))
+                    fp = int(np.uint64(fingerprint_of(hashes)).view(np.int64))
+                    known[t] = (_digest(found), len(found), keys(found, frequent, ranks), bitmap(found), fp)
+            yield pd.DataFrame([known[t] for t in texts], columns=["node", "n", "keys", "bits", "fp"])
 
     text = text_or_empty(text_col)
     return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("whole"), run(text).alias("x")).select("doc_id", "whole", "x.*")
@@ -155,6 +159,19 @@ def _verified(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, words: int,
     return materialise(both.filter(similar).select("a", "b"), "similar-links")
 
 
+def fingerprint_pairs(nodes: DataFrame) -> DataFrame:
+    """(a, b) of nodes (node, fp): each with the first of its fingerprint, and the firsts of fingerprints within two bits.
+
+    Where many fingerprints share a key, it is the links that ``links`` keeps: they have the components of all.
+    """
+    of = materialise(nodes.select("node", "fp").distinct(), "similar-fingerprints")
+    heads = of.groupBy("fp").agg(F.min("node").alias("head"), F.count("*").alias("n"))
+    same = of.join(heads.filter("n > 1"), "fp").select(F.col("head").alias("x"), F.col("node").alias("y"))
+    near = links(of).join(heads.select(F.col("fp").alias("a"), F.col("head").alias("x")), "a").join(heads.select(F.col("fp").alias("b"), F.col("head").alias("y")), "b")
+    pairs = same.unionByName(near.select("x", "y")).filter("x <> y")
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def _starred(members: DataFrame, among: DataFrame, n: int) -> DataFrame:
     """(a, b): each member of a key with the n of the others that are most likely in its middle."""
     place = F.row_number().over(Window.partitionBy("key").orderBy(F.col("middle").desc(), "node"))
@@ -183,7 +200,7 @@ def _rooted(docs: DataFrame, words: int, id_col: str, text_col: str, bucket: int
     many = materialise(many.join(many.groupBy("node").agg(F.count("*").alias("middle")), "node"), "similar-many")
     paired = few.alias("x").join(few.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & near)
     paired = paired.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    edges = _verified(paired.unionByName(_starred(many, many, 1)), firsts, docs, words, id_col, text_col)
+    edges = _verified(fingerprint_pairs(nodes).unionByName(paired).unionByName(_starred(many, many, 1)), firsts, docs, words, id_col, text_col)
     roots = components(edges)
     for all_pairs in (False, True):
         rooted = many.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -88,3 +88,23 @@ def test_stage_removes_edited_copies(spark, sf_dir):
     assert sorted(d for d, _ in kept) == sorted(min(named[i][0] for i in g) for g in found)
     assert all(sum((d, t) in kept for d, t in {named[i] for i in g}) == 1 for g in found)
     assert out.filter("doc_id IS NULL").count() == 1
+
+
+def test_fingerprints_give_candidates(spark):
+    """The stage had no SimHash: texts whose fingerprints lie within two bits must be candidates, or linked by such."""
+    rnd = random.Random(6)
+    fps = [rnd.getrandbits(63) for _ in range(30)]
+    fps += [f ^ 1 << rnd.randrange(63) for f in fps[:15]] + [f ^ 1 << 3 ^ 1 << rnd.randrange(10, 63) for f in fps[5:20]] + [f ^ 7 for f in fps[:5]] + fps[:4]
+    nodes = [*enumerate(fps)]
+    pairs = {tuple(r) for r in similar.fingerprint_pairs(spark.createDataFrame(nodes + nodes[:9], "node long, fp long")).collect()}
+    near = {(a, b) for a, x in nodes for b, y in nodes if a < b and (x ^ y).bit_count() <= 2}
+    groups = lambda edges: _groups(len(nodes), edges)
+    assert pairs <= near and groups(pairs) == groups(near) and len(near) > 30
+
+
+def _groups(n, edges):
+    root = [*range(n)]
+    for _ in range(n):
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    return root
