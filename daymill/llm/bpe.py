@@ -260,13 +260,14 @@ class Codec:
     starts with that space. So a text falls into parts at such spaces, and parts are split by the pattern on their own.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, tokens: dict[bytes, tuple[int, int]] | None = None) -> None:
+    def __init__(self, ranks: dict[bytes, int], pattern: str, tokens: dict[bytes, tuple[int, int]] | None = None, share: int = 1) -> None:
+        """share: what is kept of states, pieces and parts is bounded by one in so many of the module's numbers."""
         self.find = regex.compile(pattern).findall
-        self.machine = Transducer(ranks, tokens or reachable(ranks))
+        self.machine = Transducer(ranks, tokens or reachable(ranks), MOST_STATES // share)
         self.ranks, self.text = ranks, None
         self.digits = {i: str(i) for i in ranks.values()}.__getitem__
-        self.pieces = Known(self.piece, MOST_PIECES)
-        self.parts = Known(self.part, MOST_PARTS)
+        self.pieces = Known(self.piece, MOST_PIECES // share)
+        self.parts = Known(self.part, MOST_PARTS // share)
 
     def piece(self, piece: str) -> tuple[int, ...]:
         data = piece.encode("utf-8", "surrogatepass")
@@ -310,14 +311,15 @@ def _sent(spark: SparkSession, path: str):
 def encode_and_decode(docs: DataFrame, path: str, pattern: str, text_col: str = "text") -> DataFrame:
     """docs with ids and decoded_sha256: the token ids of each text, and the digest (lowercase hex) of what they decode to.
 
-    One worker does both, so that the vocabulary is held once. Existing columns of these names are replaced.
+    One worker does both, so that the vocabulary is held once. It comes after other stages, whose executors are full
+    already, so it keeps less and takes smaller batches. Existing columns of these names are replaced.
     """
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, 250, 2)
     ranks = _sent(docs.sparkSession, path)
 
     @F.pandas_udf("ids array<int>, decoded_sha256 string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        codec = Codec(ranks.value[0], pattern, ranks.value[1])
+        codec = Codec(ranks.value[0], pattern, ranks.value[1], 8)
         for texts in batches:
             ids = [codec.encode(t) for t in texts]
             digests = [hashlib.sha256(codec.decode(i).encode("utf-8", "surrogatepass")).hexdigest() for i in ids]
