@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..sources.files import read_table
 from .merge import children_of_chosen, merge_by_precedence, union_sources
-from .sinks import write_days
+from .sinks import files_for, write_days
 
 
 @dataclasses.dataclass(frozen=True)
@@ -51,11 +51,15 @@ class Layers:
         """Merge some days anew in one job for each table; children first, so that a day with objects is whole. Days that
         no source has any more are emptied."""
         days = sorted(set(days))
-        chosen = merge_by_precedence(self._sources(spark, self.table, self.schema, days), self.key, self.day, "source_date", list(self.order), 0)
-        for name, (schema, order) in self.children.items():
-            rows = self._sources(spark, name, schema, days).drop(self.day)
-            write_days(children_of_chosen(rows, chosen, self.key, day=self.day), self.merged_path(name), self.merged_schema(name), self.day, order, days)
-        write_days(chosen, self.merged_path(self.table), self.merged_schema(self.table), self.day, [self.key], days)
+        chosen = merge_by_precedence(self._sources(spark, self.table, self.schema, days), self.key, self.day, "source_date", list(self.order), 0).persist()
+        try:
+            files = files_for(chosen.count(), len(days))
+            for name, (schema, order) in self.children.items():
+                rows = self._sources(spark, name, schema, days).drop(self.day)
+                write_days(children_of_chosen(rows, chosen, self.key, day=self.day), self.merged_path(name), self.merged_schema(name), self.day, order, days, files)
+            write_days(chosen, self.merged_path(self.table), self.merged_schema(self.table), self.day, [self.key], days, files)
+        finally:
+            chosen.unpersist()
 
     def read_merged(self, spark: SparkSession, table: str) -> DataFrame:
         return read_table(spark, self.merged_path(table), self.merged_schema(table), self.day)

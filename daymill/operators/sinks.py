@@ -23,6 +23,15 @@ def to_contract(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+#: A task writes about so many rows of a day.
+ROWS = 250_000
+
+
+def files_for(rows: int, days: int) -> int:
+    """How many files a day is split over, so that what a task writes doesn't grow with the days."""
+    return 1 + rows // (max(1, days) * ROWS)
+
+
 def write_days(df: DataFrame, path: str, schema: T.StructType, day: str, keys: list[str], days: list[datetime.date] | None = None, files: int = 1) -> None:
     """Replace whole days of a table, rows in key order, by dynamic partition overwrite.
 

@@ -519,10 +519,11 @@ def _merged_live(spark, sf_dir):
     of = layers.Layers(root, ["a", "live"], "event_id", FACT, {"parts": (PART, ["event_id", "ordinal"]), "notes": (PART, ["event_id", "ordinal"])})
     e = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts")).withColumn("sequence_id", F.col("event_id"))
     a = e.filter("event_id % 3 <> 0")
-    sinks.write_days(a, of.source_path("a", "objects"), FACT, "day", ["event_id"])
+    files_ = sinks.files_for(*a.agg(F.count("*"), F.countDistinct("day")).first())
+    sinks.write_days(a, of.source_path("a", "objects"), FACT, "day", ["event_id"], files=files_)
     for name, k in (("parts", 2), ("notes", 1)):
         rows_ = a.withColumn("ordinal", F.explode(F.sequence(F.lit(1), F.lit(k)))).withColumn("amount", F.col("event_id") * 100 + F.col("ordinal"))
-        sinks.write_days(rows_, of.source_path("a", name), PART, "day", ["event_id", "ordinal"])
+        sinks.write_days(rows_, of.source_path("a", name), PART, "day", ["event_id", "ordinal"], files=files_)
     items = lambda k: F.transform(F.sequence(F.lit(1), F.lit(k)), lambda i: F.struct((F.col("event_id") * 10 + i).alias("amount")))
     odd = F.when(F.col("event_id") % 4 == 0, F.lit(1)).alias("odd")
     line = F.to_json(F.struct("event_id", "sequence_id", "value", "day", items(3).alias("parts"), items(1).alias("notes"), F.struct(F.md5("event_type").alias("hash"), F.array("user_id").alias("labels")).alias("meta"), odd))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.sinks import write_days
+from ..operators.sinks import files_for, write_days
 from ..sources.files import read_feed, read_table
 
 
@@ -93,6 +93,7 @@ class LiveFlush:
     def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         marked = split_skipped(batch, [self.key], self.day).persist()
+        newest = newest_per_key(marked.filter("usable"), [self.key], self.sequence, self.fetched).persist()  # each table needs it
         try:
             counts = marked.agg(F.count_if(~F.col("usable")), F.count_if("usable")).first()
             self.skipped_by_batch[batch_id] = counts[0]
@@ -100,20 +101,21 @@ class LiveFlush:
                 self.drift[1](marked).write.mode("overwrite").parquet(f"{self.drift[0]}/batch={batch_id}")
             if not counts[1]:
                 return
-            newest = newest_per_key(marked.filter("usable"), [self.key], self.sequence, self.fetched)
             incoming = newest.select(*self.schema.names)
             days = [r[0] for r in incoming.select(self.day).distinct().collect()]  # days of one batch
             stored = self.stored(spark).filter(F.col(self.day).isin(days))
+            files = files_for(counts[1] + stored.count(), len(days))
             before = stored.select(self.key, F.col(self.sequence).alias("__before"))
             replaced = newest.join(before, self.key, "left").filter(F.col("__before").isNull() | (F.col(self.sequence) >= F.col("__before"))).drop("__before")
             for c in self.children:
                 own = read_table(spark, c.path, c.schema, self.day).filter(F.col(self.day).isin(days))
                 rows = replace_children(own, c.rows(replaced).select(*c.schema.names), replaced, [self.key])
-                write_days(rows, c.path, c.schema, self.day, c.order, days)
-            write_days(replace_keys(stored, incoming, [self.key], self.sequence, [self.key]), self.path, self.schema, self.day, [self.key])
+                write_days(rows, c.path, c.schema, self.day, c.order, days, files)
+            write_days(replace_keys(stored, incoming, [self.key], self.sequence, [self.key]), self.path, self.schema, self.day, [self.key], files=files)
             if self.after:
                 self.after(spark, spark.createDataFrame([(d,) for d in days], f"{self.day} date"))
         finally:
+            newest.unpersist()
             marked.unpersist()
 
     @property
