@@ -200,8 +200,10 @@ def _rooted(docs: DataFrame, words: int, id_col: str, text_col: str, bucket: int
     many = materialise(many.join(many.groupBy("node").agg(F.count("*").alias("middle")), "node"), "similar-many")
     paired = few.alias("x").join(few.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & near)
     paired = paired.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    edges = _verified(fingerprint_pairs(nodes).unionByName(paired).unionByName(_starred(many, many, 1)), firsts, docs, words, id_col, text_col)
-    roots = components(edges)
+    # written apart: one plan of all candidates and their verification has stages by the dozen, which the driver holds at once
+    near_pairs = materialise(fingerprint_pairs(nodes), "similar-near")
+    candidates = materialise(paired.unionByName(_starred(many, many, 1)).distinct(), "similar-candidates")
+    roots = components(_verified(near_pairs.unionByName(candidates), firsts, docs, words, id_col, text_col))
     for all_pairs in (False, True):
         rooted = many.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         sizes = rooted.groupBy("key", "root").count().groupBy("key").agg(F.max_by("root", "count").alias("most"), F.count("*").alias("roots"))
@@ -214,8 +216,9 @@ def _rooted(docs: DataFrame, words: int, id_col: str, text_col: str, bucket: int
             more = more.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
         else:
             more = _starred(apart, open_.filter("root = most"), HUBS)
-        edges = edges.unionByName(_verified(more, firsts, docs, words, id_col, text_col))
-        roots = components(edges)
+        found = _verified(more, firsts, docs, words, id_col, text_col)
+        if not found.isEmpty():
+            roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found))
     return nodes, firsts.select("node", "first_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 

@@ -108,3 +108,28 @@ def _groups(n, edges):
         for a, b in edges:
             root[a] = root[b] = min(root[a], root[b])
     return root
+
+
+def test_plans_and_rounds_are_bounded(spark, monkeypatch):
+    """The driver holds a written plan's stages at once, so none has dozens; links that are stars already take no round."""
+    rnd = random.Random(8)
+    rows = []
+    for i in range(20):
+        w = [rnd.choice("abcdefghij") * rnd.randint(1, 5) for _ in range(120)]
+        rows += [(10 * i + j, " ".join(w[:60] + [f"x{j}"] + w[60:])) for j in range(3)]
+    written = []
+    for module in (similar, simhash):
+        write = module.materialise
+
+        def counted(df, name, write=write):
+            written.append((name, df._jdf.queryExecution().sparkPlan().toString().count("Join") + df._jdf.queryExecution().sparkPlan().toString().count("Window")))
+            return write(df, name)
+
+        monkeypatch.setattr(module, "materialise", counted)
+    got = similar.similar_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(i, i // 10 * 10) for i, _ in rows}
+    assert max(n for _, n in written) <= 6, written
+    written.clear()
+    edges = spark.createDataFrame([(1, i) for i in range(2, 30)] + [(50, 51), (50, 51), (50, 52)], "a long, b long")
+    assert {(r.node, r.root) for r in simhash.components(edges).collect()} == {(i, 1) for i in range(2, 30)} | {(51, 50), (52, 50)}
+    assert [name for name, _ in written] == ["links"]
